@@ -44,6 +44,13 @@ def kmeans_labels(
     return model.transform(df).withColumn("cluster", F.get(labels, F.col("_label"))).drop("_label")
 
 
+def _spread(vectors: DataFrame, features: str) -> float:
+    """The inertia of a single cluster."""
+    of = Summarizer.metrics("variance", "count").summary(F.col(features))
+    found = vectors.agg(of.alias("s")).first()["s"]
+    return float(sum(found["variance"].toArray()) * (found["count"] - 1))
+
+
 def elbow(
     df: DataFrame, ks: Iterable[int] = range(1, 11), seed: int = 42, max_iter: int = 20, features: str = "features"
 ) -> DataFrame:
@@ -52,8 +59,11 @@ def elbow(
     try:
         rows, before = [], None
         for k in ks:
-            fit = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=features).fit(vectors)
-            cost = float(fit.summary.trainingCost)
+            if k == 1:
+                cost = _spread(vectors, features)
+            else:
+                fit = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=features).fit(vectors)
+                cost = float(fit.summary.trainingCost)
             rows.append((k, cost, None if before is None else before - cost))
             before = cost
     finally:
@@ -91,10 +101,9 @@ def nearest_centroid(df: DataFrame, array: str, centroids: DataFrame, label: str
         F.when(F.count("*") <= MAX_CENTROIDS, F.collect_list(entry))
         .otherwise(F.raise_error(F.lit("too many centroids"))).alias("c")
     ).scalar()
-    point = F.col(array).cast("array<double>")
     measured = F.transform(F.col("_known"), lambda c: F.struct(
         F.aggregate(
-            F.zip_with(point, c["centroid"], lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, d: s + d
+            F.zip_with(F.col(array), c["centroid"], lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, d: s + d
         ).alias("squared"),
         c["label"].alias("label"),
     ))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statlab.functions.clean import fold_name
+from statlab.session import stage
 
 MAX_ALIASES = 10_000
 
@@ -104,8 +105,8 @@ def approx_name_join(
 
     ``block`` names a column on each side that has to agree, such as the team; without it a name
     may be matched across teams. Equal distances go to the first name, and among right rows of the
-    same name to the first id. Only distinct names are compared, however many rows carry one, and
-    equal names are taken first by a plain join.
+    same name to the first id. Only distinct names are compared, however many rows carry one; they
+    are written once for both sides, and equal ones are taken first by a plain join.
     """
     def prepared(df: DataFrame, name: str, side: int) -> DataFrame:
         place = F.col(block[side]).cast("string") if block else F.lit("")
@@ -113,12 +114,13 @@ def approx_name_join(
 
     rows = prepared(left, left_name, 0)
     usable = "folded is not null and block is not null"
-    targets = (
+    targets = stage(
         prepared(right, right_name, 1).where(usable).groupBy("block", "folded")
         .agg(F.min(F.struct(F.col(right_id).alias("match_id"), F.col(right_name).alias("match_name"))).alias("hit"))
-        .select("block", F.col("folded").alias("match"), "hit.match_name", "hit.match_id")
+        .select("block", F.col("folded").alias("match"), "hit.match_name", "hit.match_id"),
+        "names-right",
     )
-    names = rows.where(usable).select("block", "folded").distinct()
+    names = stage(rows.where(usable).select("block", "folded").distinct(), "names-left")
     known = targets.select("block", F.col("match").alias("folded"))
     equal = names.join(known, ["block", "folded"], "left_semi").select(
         "block", "folded", F.col("folded").alias("match"), F.lit(0).alias("distance")

@@ -8,7 +8,7 @@ holds the whole table. Here a histogram finds the middle instead:
 3. read the table again, keep the rows of the picked bins, and count their values;
 4. cut each picked bin into equal steps, pick again, and rank the few values left in a step.
 
-Steps 1 and 4 hold at most 2 * 37,200 bins and 2**20 steps of one group in a task, whatever the
+A task holds at most some 67,000 bins of a group in step 2 and 2**20 steps in step 4, whatever the
 number of rows, and every count is exact.
 """
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from statlab.operators.reshape import to_long
+from statlab.operators.reshape import aggregate_long, to_long
 
 
 def first_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], k: int) -> DataFrame:
@@ -19,12 +19,37 @@ def first_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column
     return df.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
 
 
-def extremes(df: DataFrame, ident: str, metrics: Sequence[str], side: str, k: int = 3) -> DataFrame:
-    """The ``k`` highest or lowest entities per metric, nulls left out, ties in order of the id."""
-    value = F.desc("value") if side == "high" else F.asc("value")
-    ranked = first_per_group(to_long(df, [ident], metrics), ["metric"], [value, F.asc(ident)], k)
-    return ranked.select("metric", F.lit(side).alias("side"), "rank", ident, "value")
+def _bounds(df: DataFrame, ident: str, metrics: Sequence[str], sides: Sequence[str], k: int) -> DataFrame:
+    """``metric, side, bound``: a value that at least ``k`` rows reach; null where that is not certain.
+
+    Rows fall into buckets by their id. The extremes of ``k`` buckets belong to ``k`` rows, so the
+    k-th best of them is such a value.
+    """
+    buckets = max(64, 4 * k)
+    marked = df.withColumn("_bucket", F.pmod(F.xxhash64(ident), F.lit(buckets)))
+    best = aggregate_long(marked, ["_bucket"], metrics, {"high": F.max, "low": F.min}, 2)
+    held = {"high": F.sort_array(F.collect_list("high"), asc=False), "low": F.sort_array(F.collect_list("low"))}
+    ends = [F.struct(F.lit(s).alias("side"), F.get(held[s], F.lit(k - 1)).alias("bound")) for s in sides]
+    return best.groupBy("metric").agg(F.array(*ends).alias("ends")).select("metric", F.inline("ends"))
 
 
-def both_extremes(df: DataFrame, ident: str, metrics: Sequence[str], k: int = 3) -> DataFrame:
-    return extremes(df, ident, metrics, "high", k).unionByName(extremes(df, ident, metrics, "low", k))
+def extremes(
+    df: DataFrame, ident: str, metrics: Sequence[str], sides: Sequence[str] = ("high", "low"), k: int = 3
+) -> DataFrame:
+    """The ``k`` highest and lowest entities per metric, nulls left out, ties in order of the id.
+
+    ``metric, side, rank, id, value``. A first pass over the wide rows finds a bound per metric and
+    side, so that the second sorts the few values beyond it and not every value of the table.
+    """
+    # Two rows per metric of the catalogue.
+    bounds = F.broadcast(_bounds(df, ident, metrics, sides, k))
+    beyond = (
+        F.col("bound").isNull()
+        | ((F.col("side") == "high") & (F.col("value") >= F.col("bound")))
+        | ((F.col("side") == "low") & (F.col("value") <= F.col("bound")))
+    )
+    far = to_long(df, [ident], metrics).join(bounds, "metric").where(beyond)
+    # Ascending in both cases, with the sign turned for the high side.
+    order = F.when(F.col("side") == "high", -F.col("value")).otherwise(F.col("value"))
+    ranked = first_per_group(far, ["metric", "side"], [order, F.asc(ident)], k)
+    return ranked.select("metric", "side", "rank", ident, "value")

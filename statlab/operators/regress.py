@@ -66,14 +66,14 @@ def estimate_by_category(
     without one get no estimate. The regressor is any MLlib regressor, a ridge line by default.
     Features must not be null.
     """
-    names = [r[0] for r in df.select(category).distinct().limit(MAX_CATEGORIES + 1).collect()]
+    marked = stage(df.withColumn("is_train", in_training(F.col(key), percent)), "by-category", [category])
+    names = [r[0] for r in marked.select(category).distinct().limit(MAX_CATEGORIES + 1).collect()]
     if len(names) > MAX_CATEGORIES:
         raise ValueError(f"more than {MAX_CATEGORIES} values in {category}")
     regressor = regressor or LinearRegression(regParam=0.1)
     regressor = regressor.copy({
         regressor.featuresCol: "_features", regressor.labelCol: actual, regressor.predictionCol: "_raw",
     })
-    marked = stage(df.withColumn("is_train", in_training(F.col(key), percent)), "by-category", [category])
     result = None
     for name in sorted(n for n in names if n is not None):
         rows = marked.where(F.col(category) == name)

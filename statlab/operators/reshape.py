@@ -11,9 +11,14 @@ from pyspark.sql import functions as F
 BUFFER_FIELDS = 90
 
 
+def number(metric: str) -> Column:
+    """A metric as a double; NaN counts as missing."""
+    return F.nanvl(F.col(metric).cast("double"), F.lit(None).cast("double"))
+
+
 def to_long(df: DataFrame, ids: Sequence[str], metrics: Sequence[str], keep_nulls: bool = False) -> DataFrame:
     """One row per id and metric: ``ids, metric, value``."""
-    wide = df.select(*ids, *[F.col(m).cast("double").alias(m) for m in metrics])
+    wide = df.select(*ids, *[number(m).alias(m) for m in metrics])
     long = wide.unpivot(list(ids), list(metrics), "metric", "value")
     return long if keep_nulls else long.where("value is not null")
 
@@ -43,7 +48,7 @@ def aggregate_long(
     for start in range(0, len(metrics), size):
         chunk = metrics[start:start + size]
         sums = [
-            F.struct(F.lit(m).alias("metric"), *[f(F.col(m).cast("double")).alias(s) for s, f in stats.items()])
+            F.struct(F.lit(m).alias("metric"), *[f(number(m)).alias(s) for s, f in stats.items()])
             for m in chunk
         ]
         cells = F.array(*sums).alias("cells")

@@ -10,6 +10,7 @@ from pyspark.sql.window import WindowSpec
 
 from statlab.functions.clean import fixed
 from statlab.operators.leaders import best_group, lead_counts
+from statlab.session import stage
 
 # The wording and rules of the three reports.
 METRIC_HEADER = "Chỉ số: %s"
@@ -78,6 +79,7 @@ def leaders_report(
     leaders: DataFrame, group: str, metrics: Sequence[str], competition: str, labels: dict[str, str] | None = None
 ) -> DataFrame:
     """``block, line_no, line``: leader per metric, the best group, and the number of metrics led."""
+    leaders = stage(leaders, "leaders")
     counts = lead_counts(leaders, group, metrics)
     best = best_group(counts, group)
     frame = _written(leaders.sparkSession, [

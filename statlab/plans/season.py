@@ -14,7 +14,7 @@ from statlab.operators import cluster, profile
 from statlab.operators.impute import median_impute
 from statlab.operators.joins import approx_name_join, contradicting, resolve_alias
 from statlab.operators.leaders import metric_leaders
-from statlab.operators.rank import both_extremes
+from statlab.operators.rank import extremes
 from statlab.operators.regress import estimate_by_category
 from statlab.operators.stats import PREFIX, STATS, group_stats_wide
 from statlab.plans import reports
@@ -47,7 +47,7 @@ def team_leaders_report(players: DataFrame, competition: str) -> DataFrame:
 
 
 def metric_extremes(players: DataFrame) -> DataFrame:
-    return both_extremes(players, "player", METRICS)
+    return extremes(players, "player", METRICS)
 
 
 def metric_extremes_report(players: DataFrame) -> DataFrame:

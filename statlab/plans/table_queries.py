@@ -72,11 +72,16 @@ def stats_of_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def top3_per_metric(spark: SparkSession, sf: str) -> DataFrame:
-    return rank.extremes(table(spark, sf, "part"), "p_partkey", PART_METRICS, "high")
+    return rank.extremes(table(spark, sf, "part"), "p_partkey", PART_METRICS, ["high"])
 
 
 def bottom3_per_metric(spark: SparkSession, sf: str) -> DataFrame:
-    return rank.extremes(table(spark, sf, "part"), "p_partkey", PART_METRICS, "low")
+    return rank.extremes(table(spark, sf, "part"), "p_partkey", PART_METRICS, ["low"])
+
+
+def extremes_of_lines(spark: SparkSession, sf: str) -> DataFrame:
+    keyed = table(spark, sf, "lineitem").withColumn("line", F.format_string("%d/%d/%.2f", "l_orderkey", "l_linenumber", "l_extendedprice"))
+    return rank.extremes(keyed, "line", LINE_METRICS)
 
 
 def first5_per_group(spark: SparkSession, sf: str) -> DataFrame:
@@ -385,7 +390,7 @@ def value_model(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def extremes_report(spark: SparkSession, sf: str) -> DataFrame:
-    found = rank.both_extremes(table(spark, sf, "part"), "p_partkey", PART_METRICS)
+    found = rank.extremes(table(spark, sf, "part"), "p_partkey", PART_METRICS)
     return reports.extremes_report(found, "p_partkey", PART_METRICS)
 
 
@@ -435,7 +440,7 @@ QUERIES = {
     f.__name__: f
     for f in [
         group_stats_with_total, group_stats_long, group_stats_single_row, null_safe_stats, null_group_stats,
-        stats_of_events, top3_per_metric, bottom3_per_metric, first5_per_group, leader_per_metric_sum,
+        stats_of_events, top3_per_metric, bottom3_per_metric, extremes_of_lines, first5_per_group, leader_per_metric_sum,
         leader_per_metric_mean, leader_counts, best_group, threshold_filter, threshold_filter_strict, money_parse,
         route_split, first_token, age_decimal, header_rename, fixed_format, clamp_floor, median_impute, standardize,
         accent_fold, edit_distance, approx_name_join, approx_name_join_loose, inner_match, one_to_many, alias_lookup,

@@ -174,6 +174,17 @@ SQL = {
     "stats_of_events": _stats_long("events", "user_id", ["value"], 5, True),
     "top3_per_metric": _extremes("high"),
     "bottom3_per_metric": _extremes("low"),
+    "extremes_of_lines": f"""
+        WITH lines AS (
+            SELECT *, printf('%d/%d/%.2f', l_orderkey, l_linenumber, l_extendedprice) AS line FROM lineitem
+        ), long AS ({_long("lines", ["line"], LINE_METRICS)})
+        SELECT metric, side, rank, line, value FROM (
+            SELECT 'high' AS side, metric, line, value,
+                   CAST(row_number() OVER (PARTITION BY metric ORDER BY value DESC, line) AS INTEGER) AS rank FROM long
+            UNION ALL
+            SELECT 'low' AS side, metric, line, value,
+                   CAST(row_number() OVER (PARTITION BY metric ORDER BY value, line) AS INTEGER) AS rank FROM long
+        ) WHERE rank <= 3""",
     "first5_per_group": """
         SELECT s_nationkey, s_name, s_acctbal, rank FROM (
             SELECT *, CAST(row_number() OVER (PARTITION BY s_nationkey ORDER BY s_name) AS INTEGER) AS rank FROM supplier

@@ -24,12 +24,19 @@ def local_session(name: str, cores: str | int = 8) -> SparkSession:
     )
 
 
+_own_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; only where it is unset, one of our own."""
+    """The folder named in ``spark.checkpoint.dir``; in a local session without one, a folder of our own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="statlab-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if not spark.conf.get("spark.master").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        app = spark.sparkContext.applicationId
+        if app not in _own_folders:
+            _own_folders[app] = tempfile.mkdtemp(prefix="statlab-")
+        folder = _own_folders[app]
     return folder
 
 
