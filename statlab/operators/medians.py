@@ -4,26 +4,31 @@
 holds the whole table. Here a histogram finds the middle instead:
 
 1. count the values of each group in logarithmic bins; the partial counts are what is shuffled;
-2. pick the bin, or two neighbours, holding the two middle ranks;
-3. read the table again, keep the rows of the picked bins, and count their values;
-4. cut each picked bin into equal steps, pick again, and rank the few values left in a step.
-
-A task holds at most some 67,000 bins of a group in step 2 and 2**20 steps in step 4, whatever the
-number of rows, and every count is exact.
+2. find the bin, or the two neighbours, holding the two middle ranks. Between two bins, or in a bin
+   of a single value, the median is known already;
+3. otherwise read the table again, keep the rows within the bin, and count their values;
+4. cut the bin into equal steps and find the step in the same way, again within the step if it
+   still has very many values, and rank the few values left.
+
+A task holds at most some 67,000 bins of a group in step 2, and ``STEPS`` steps or ``FEW`` values in
+step 4, whatever the number of rows; and every count is exact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from statlab.operators.reshape import join_null_safe, to_long
+from statlab.operators.reshape import join_null_safe, number, to_long
 from statlab.session import stage
 
 BINS_PER_OCTAVE = 16
-STEPS = 2 ** 20
+STEPS = 2 ** 14
+FEW = 1_000_000
 TARGET = ["is_total", "grp", "metric"]
 
 
@@ -51,8 +56,28 @@ def _holding_middle(counts: DataFrame, within: Sequence[str], order: str) -> Dat
     )
 
 
-def _pick_bins(rows: DataFrame, targets: list[list[str]]) -> DataFrame:
-    histogram = rows.groupBy("grp", "metric", "bin").agg(
+def _narrowed(held: DataFrame) -> DataFrame:
+    """One row per target from its one or two runs of values.
+
+    ``middle`` is the median where it is known: two runs meet at the highest value of the first and
+    the lowest of the second. Elsewhere it is null, and the median lies between ``low`` and ``high``.
+    """
+    two = F.count("*") == 2
+    first_end, second_start = F.min("high"), F.max("low")
+    known = F.when(two | (F.min("low") == F.max("high")), _between(first_end, second_start))
+    return held.groupBy(*TARGET).agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), known.alias("middle"),
+        F.min("skipped").alias("skipped"), F.max("n_values").alias("n_values"),
+        F.first("low_rank").alias("low_rank"), F.first("high_rank").alias("high_rank"),
+    )
+
+
+def _between(low: Column, high: Column) -> Column:
+    return F.when(low == high, low).otherwise((low + high) / 2)
+
+
+def _find_bins(rows: DataFrame, targets: list[list[str]]) -> DataFrame:
+    histogram = rows.groupBy("grp", "metric", _bin(F.col("value")).alias("bin")).agg(
         F.count("value").alias("cnt"), F.min("value").alias("low"), F.max("value").alias("high")
     )
     # The total is folded from the bins of the groups, not from the rows.
@@ -65,31 +90,56 @@ def _pick_bins(rows: DataFrame, targets: list[list[str]]) -> DataFrame:
         counts.withColumn("n", F.sum("cnt").over(everything))
         .withColumn("low_rank", F.floor((F.col("n") - 1) / 2))
         .withColumn("high_rank", F.floor(F.col("n") / 2))
-        .withColumn("skipped", F.lit(0).cast("long"))
-    )
-    return _holding_middle(ranked, TARGET, "bin").select(
-        *TARGET, "bin", "low", "high", "low_rank", "high_rank", "skipped"
+        .withColumns({"skipped": F.lit(0).cast("long"), "n_values": F.col("cnt")})
     )
+    return _narrowed(_holding_middle(ranked, TARGET, "bin"))
+
 
+def _count_values(wide: DataFrame, metrics: Sequence[str], found: DataFrame, per_group: bool) -> DataFrame:
+    """Counts of the values that lie within a bin still open: ``grp, metric, value, cnt``.
 
-def _count_values(rows: DataFrame, picked: DataFrame, per_group: bool) -> DataFrame:
-    # At most two bins per metric for the total; the picks of the groups join by their staged size.
-    every = picked.where("is_total").select("metric", "bin", F.lit(True).alias("every"))
-    kept = rows.join(F.broadcast(every), ["metric", "bin"], "left")
+    A row meets the ranges of its group once, before it is taken apart into metrics.
+    """
+    open_bins = found.where("middle is null")
+    # Two numbers per metric of the total come to the driver and go into the plan as literals.
+    total = {r["metric"]: r for r in open_bins.where("is_total").select("metric", "low", "high").collect()}
     if per_group:
-        own = picked.where("not is_total").select("grp", "metric", "bin", F.lit(True).alias("own"))
-        kept = join_null_safe(kept, own, ["grp", "metric", "bin"], "left")
-    else:
-        kept = kept.withColumn("own", F.lit(None).cast("boolean"))
-    no_group = F.lit(None).cast(rows.schema["grp"].dataType)
-    targets = F.array_compact(F.array(
-        F.when(F.col("own"), F.struct(F.lit(False).alias("is_total"), F.col("grp").alias("grp"))),
-        F.when(F.col("every"), F.struct(F.lit(True).alias("is_total"), no_group.alias("grp"))),
-    ))
-    return (
-        kept.where("own or every").select(F.inline(targets), "metric", "bin", "value")
-        .groupBy(*TARGET, "bin", "value").agg(F.count("*").alias("cnt"))
+        own = open_bins.where("not is_total").groupBy("grp").pivot("metric", list(metrics)).agg(
+            F.min("low").alias("low"), F.max("high").alias("high")
+        )
+        wide = join_null_safe(wide, stage(own, "median-ranges"), ["grp"], "left")
+    inside = {}
+    for m in metrics:
+        tests = []
+        if per_group:
+            tests.append(F.col(m).between(F.col(f"{m}_low"), F.col(f"{m}_high")))
+        if m in total:
+            tests.append(F.col(m).between(F.lit(total[m]["low"]), F.lit(total[m]["high"])))
+        if tests:
+            inside[m] = F.when(reduce(or_, tests), F.col(m))
+    if not inside:
+        return None
+    kept = wide.select("grp", *[c.alias(m) for m, c in inside.items()])
+    return to_long(kept, ["grp"], list(inside)).groupBy("grp", "metric", "value").agg(F.count("*").alias("cnt"))
+
+
+def _inside(values: DataFrame, runs: DataFrame) -> DataFrame:
+    """The counted values of each target that lie within its run; those of the total are added up."""
+    within = F.col("value").between(F.col("low"), F.col("high"))
+    runs = runs.drop("middle", "n_values")
+    of_groups = join_null_safe(values, runs.where("not is_total"), ["grp", "metric"]).where(within)
+    folded = values.groupBy("metric", "value").agg(F.sum("cnt").alias("cnt"))
+    of_total = folded.join(runs.where("is_total"), "metric").where(within)
+    return of_groups.unionByName(of_total)
+
+
+def _find_steps(values: DataFrame, runs: DataFrame) -> DataFrame:
+    step = _step(F.col("value"), F.col("low"), F.col("high")).alias("step")
+    steps = _inside(values, runs).groupBy(*TARGET, step, "low_rank", "high_rank", "skipped").agg(
+        F.sum("cnt").alias("cnt"), F.count("*").alias("n_values"),
+        F.min("value").alias("low"), F.max("value").alias("high"),
     )
+    return _narrowed(_holding_middle(steps, TARGET, "step"))
 
 
 def exact_medians(
@@ -105,25 +155,27 @@ def exact_medians(
     """
     per_group = group is not None
     key = F.col(group) if per_group else F.lit(None).cast("string")
-    source = df.select(key.alias("grp"), *[F.col(m) for m in metrics])
-    rows = to_long(source, ["grp"], metrics).withColumn("bin", _bin(F.col("value")))
+    wide = df.select(key.alias("grp"), *[number(m).alias(m) for m in metrics])
     targets = ([["grp"]] if per_group else []) + ([[]] if grand_total or not per_group else [])
 
-    picked = stage(_pick_bins(rows, targets), "median-bins")
-    values = stage(_count_values(rows, picked, per_group), "median-values")
-
-    place = [*TARGET, "bin"]
-    candidates = join_null_safe(values, picked, place).withColumn(
-        "step", _step(F.col("value"), F.col("low"), F.col("high"))
-    )
-    steps = candidates.groupBy(*place, "step", "low_rank", "high_rank", "skipped").agg(F.sum("cnt").alias("cnt"))
-    steps = _holding_middle(steps, place, "step").select(*place, "step", F.col("skipped").alias("before"))
-    inside = join_null_safe(candidates, steps, [*place, "step"]).withColumn("skipped", F.col("before"))
-    middle = _holding_middle(inside, [*place, "step"], "value")
-    return (
-        middle.groupBy(*TARGET)
-        .agg(F.max(F.when(_covers("low_rank"), F.col("value"))).alias("low"),
-             F.max(F.when(_covers("high_rank"), F.col("value"))).alias("high"))
-        .select(*TARGET, F.when(F.col("low") == F.col("high"), F.col("low"))
-                .otherwise((F.col("low") + F.col("high")) / 2).alias("median"))
-    )
+    # Staged, so that each read of the table happens once and the join with its result has a known size.
+    found = stage(_find_bins(to_long(wide, ["grp"], metrics), targets), "median-bins")
+    known = found.where("middle is not null").select(*TARGET, F.col("middle").alias("median"))
+    counted = _count_values(wide, metrics, found, per_group)
+    if counted is None:
+        return known
+    values = stage(counted, "median-values")
+
+    runs = found.where("middle is null")
+    while True:
+        found = stage(_find_steps(values, runs), "median-steps")
+        known = known.unionByName(found.where("middle is not null").select(*TARGET, F.col("middle").alias("median")))
+        runs = found.where("middle is null")
+        most = runs.agg(F.max("n_values")).first()[0]
+        if most is None:
+            return known
+        if most <= FEW:
+            break
+    ranked = _holding_middle(_inside(values, runs), TARGET, "value")
+    ends = ranked.groupBy(*TARGET).agg(_between(F.min("value"), F.max("value")).alias("median"))
+    return known.unionByName(ends)

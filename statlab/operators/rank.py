@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from statlab.operators.reshape import aggregate_long, to_long
+from statlab.operators.reshape import aggregate_long, number, to_long
 
 
 def first_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], k: int) -> DataFrame:
@@ -19,18 +19,22 @@ def first_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column
     return df.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
 
 
-def _bounds(df: DataFrame, ident: str, metrics: Sequence[str], sides: Sequence[str], k: int) -> DataFrame:
-    """``metric, side, bound``: a value that at least ``k`` rows reach; null where that is not certain.
+def _bounds(
+    df: DataFrame, ident: str, metrics: Sequence[str], k: int
+) -> dict[str, tuple[float | None, float | None]]:
+    """Per metric a high and a low value that at least ``k`` rows reach; None where that is not certain.
 
     Rows fall into buckets by their id. The extremes of ``k`` buckets belong to ``k`` rows, so the
-    k-th best of them is such a value.
+    k-th best of them is such a value. Two numbers per metric come to the driver.
     """
     buckets = max(64, 4 * k)
     marked = df.withColumn("_bucket", F.pmod(F.xxhash64(ident), F.lit(buckets)))
     best = aggregate_long(marked, ["_bucket"], metrics, {"high": F.max, "low": F.min}, 2)
-    held = {"high": F.sort_array(F.collect_list("high"), asc=False), "low": F.sort_array(F.collect_list("low"))}
-    ends = [F.struct(F.lit(s).alias("side"), F.get(held[s], F.lit(k - 1)).alias("bound")) for s in sides]
-    return best.groupBy("metric").agg(F.array(*ends).alias("ends")).select("metric", F.inline("ends"))
+    kth = best.groupBy("metric").agg(
+        F.get(F.sort_array(F.collect_list("high"), asc=False), F.lit(k - 1)).alias("high"),
+        F.get(F.sort_array(F.collect_list("low")), F.lit(k - 1)).alias("low"),
+    )
+    return {r["metric"]: (r["high"], r["low"]) for r in kth.collect()}
 
 
 def extremes(
@@ -38,17 +42,24 @@ def extremes(
 ) -> DataFrame:
     """The ``k`` highest and lowest entities per metric, nulls left out, ties in order of the id.
 
-    ``metric, side, rank, id, value``. A first pass over the wide rows finds a bound per metric and
-    side, so that the second sorts the few values beyond it and not every value of the table.
+    ``metric, side, rank, id, value``. A first pass over the wide rows, run when the function is
+    called, finds a bound per metric and side, so that the second sorts the few values beyond it
+    and not every value of the table.
     """
-    # Two rows per metric of the catalogue.
-    bounds = F.broadcast(_bounds(df, ident, metrics, sides, k))
-    beyond = (
-        F.col("bound").isNull()
-        | ((F.col("side") == "high") & (F.col("value") >= F.col("bound")))
-        | ((F.col("side") == "low") & (F.col("value") <= F.col("bound")))
+    bounds = _bounds(df, ident, metrics, k)
+    beyond = []
+    for m in metrics:
+        high, low = bounds.get(m, (None, None))
+        tests = {
+            "high": F.lit(True) if high is None else number(m) >= high,
+            "low": F.lit(True) if low is None else number(m) <= low,
+        }
+        beyond += [F.when(tests[s], number(m)).alias(f"{s}:{m}") for s in sides]
+    wide = df.select(ident, *beyond)
+    far = to_long(wide, [ident], wide.columns[1:]).select(
+        F.substring_index("metric", ":", 1).alias("side"), F.regexp_replace("metric", "^[a-z]+:", "").alias("metric"),
+        ident, "value",
     )
-    far = to_long(df, [ident], metrics).join(bounds, "metric").where(beyond)
     # Ascending in both cases, with the sign turned for the high side.
     order = F.when(F.col("side") == "high", -F.col("value")).otherwise(F.col("value"))
     ranked = first_per_group(far, ["metric", "side"], [order, F.asc(ident)], k)

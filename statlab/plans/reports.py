@@ -33,6 +33,7 @@ CLUSTER_HEAD = "Cluster"
 CLUSTER_MEANS = "Đặc điểm trung bình của các chỉ số cho từng cụm (giá trị gốc, sau khi xử lý NaN):"
 CLUSTER_BLOCK = "--- Cụm %d (%d cầu thủ) ---"
 CLUSTER_EXAMPLES = "Cầu thủ ví dụ (và vị trí của họ):"
+CLUSTER_REMARKS = "=== NHẬN XÉT VỀ KẾT QUẢ PHÂN CỤM ==="
 CLUSTER_READING = "2. Diễn giải các cụm:"
 CLUSTER_NAME = "- Cụm %d:"
 CLUSTER_STANDOUT = "  + Đặc trưng bởi các chỉ số cao: %s"
@@ -129,7 +130,7 @@ def clusters_report(
     after = 2 + 2 * k
     frame = [(1, 1, CLUSTER_TITLE % k), (1, 2, ""), (1, 3, CLUSTER_K % k), (1, 4, ""), (1, 5, CLUSTER_SIZES),
              (1, 6, CLUSTER_HEAD), (1, 1000 + k, ""), (1, 1001 + k, CLUSTER_MEANS),
-             (after, 1, CLUSTER_READING), (after + k + 1, 1, ""), (after + k + 1, 2, PCA_PART)]
+             (after, 0, ""), (after, 1, CLUSTER_REMARKS), (after, 2, CLUSTER_READING), (after + k + 1, 1, ""), (after + k + 1, 2, PCA_PART)]
     for c in range(k):
         frame += [(2 + 2 * c, 0, ""), (3 + 2 * c, 0, ""), (3 + 2 * c, 1, CLUSTER_EXAMPLES),
                   (after + 1 + c, 1, CLUSTER_NAME % c)]

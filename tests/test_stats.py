@@ -44,6 +44,19 @@ def test_median_is_exact(spark, kind):
     assert (False, "none", "v") not in found
 
 
+def test_narrowing_goes_on_while_a_step_has_many_values(spark, monkeypatch):
+    from statlab.operators import medians as module
+
+    monkeypatch.setattr(module, "STEPS", 4)
+    monkeypatch.setattr(module, "FEW", 3)
+    rng = random.Random(9)
+    rows = [(rng.choice("ab"), 100 + rng.random() ** 6) for _ in range(3001)]
+    found = medians(exact_medians(spark.createDataFrame(rows, "g string, v double"), ["v"], "g"))
+    for g in "ab":
+        assert found[(False, g, "v")] == statistics.median(v for k, v in rows if k == g)
+    assert found[(True, None, "v")] == statistics.median(v for _, v in rows)
+
+
 def test_one_group_holds_nearly_all_rows(spark):
     frame = spark.range(100_000).select(
         F.when(F.col("id") % 1000 == 0, "rare").otherwise("hot").alias("g"),
