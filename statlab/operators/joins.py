@@ -11,6 +11,7 @@ from statlab.functions.clean import fold_name
 from statlab.session import stage
 
 MAX_ALIASES = 10_000
+BROADCAST_KEYS = 200_000
 
 
 def inner_match(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -83,6 +84,9 @@ def similar_names(
     wholesale, and no partner is left out.
     """
     other = _with_keys(right, max_distance).withColumnsRenamed({"folded": "match", "block": "right_block"})
+    # A name has many keys, which the planner does not foresee; so count them before choosing the join.
+    other = stage(other, "name-keys")
+    other = F.broadcast(other) if other.count() <= BROADCAST_KEYS else other.hint("merge")
     pairs = _with_keys(left, max_distance).join(other, "key").where(F.col("block") == F.col("right_block"))
     near = pairs.withColumn("distance", F.levenshtein("folded", "match", max_distance)).where("distance >= 0")
     if best_only:
@@ -129,7 +133,10 @@ def approx_name_join(
     if max_distance > 0:
         rest = names.join(known, ["block", "folded"], "left_anti")
         best = equal.unionByName(similar_names(rest, known, max_distance))
-    found = best.join(targets, ["block", "match"]).select("block", "folded", "match_name", "match_id", "distance")
+    found = stage(
+        best.join(targets, ["block", "match"]).select("block", "folded", "match_name", "match_id", "distance"),
+        "names-found",
+    )
     return rows.join(found, ["block", "folded"], how).select(
         *left.columns, "match_name", "match_id", "distance"
     )

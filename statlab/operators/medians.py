@@ -7,8 +7,8 @@ holds the whole table. Here a histogram finds the middle instead:
 2. find the bin, or the two neighbours, holding the two middle ranks. Between two bins, or in a bin
    of a single value, the median is known already;
 3. otherwise read the table again, keep the rows within the bin, and count their values;
-4. cut the bin into equal steps and find the step in the same way, again within the step if it
-   still has very many values, and rank the few values left.
+4. while these are many, cut the bin into equal steps and find the step in the same way; then rank
+   the few values left.
 
 A task holds at most some 67,000 bins of a group in step 2, and ``STEPS`` steps or ``FEW`` values in
 step 4, whatever the number of rows; and every count is exact.
@@ -167,15 +167,12 @@ def exact_medians(
     values = stage(counted, "median-values")
 
     runs = found.where("middle is null")
-    while True:
+    most = values.count()
+    while most > FEW:
         found = stage(_find_steps(values, runs), "median-steps")
         known = known.unionByName(found.where("middle is not null").select(*TARGET, F.col("middle").alias("median")))
         runs = found.where("middle is null")
-        most = runs.agg(F.max("n_values")).first()[0]
-        if most is None:
-            return known
-        if most <= FEW:
-            break
+        most = runs.agg(F.max("n_values")).first()[0] or 0
     ranked = _holding_middle(_inside(values, runs), TARGET, "value")
     ends = ranked.groupBy(*TARGET).agg(_between(F.min("value"), F.max("value")).alias("median"))
     return known.unionByName(ends)
