@@ -163,9 +163,11 @@ def clusters_report(
         F.concat(_aligned(ident, one), F.lit(" "), _aligned(position, one)).alias("line"),
     )
     reading = [
-        table.select((after + 1 + number).cast(long).alias("block"), F.lit(no).cast(long).alias("line_no"),
-                     F.format_string(form, F.col(column)).alias("line"))
-        for table, no, form, column in [
+        sizes.select("cluster").join(lists, "cluster", "left").select(
+            (after + 1 + number).cast(long).alias("block"), F.lit(no).cast(long).alias("line_no"),
+            F.format_string(form, F.coalesce(F.col(column), F.lit(""))).alias("line"),
+        )
+        for lists, no, form, column in [
             (standout, 2, CLUSTER_STANDOUT, "standout"), (positions, 3, CLUSTER_POSITIONS, "main_positions")]
     ]
     share = explained.select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +17,7 @@ from statlab.sources import files
 LINE_METRICS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 PART_METRICS = ["p_size", "p_retailprice"]
 LABEL_METRICS = ["quality", "toxic", "n_chars"]
+CUSTOMER_METRICS = ["c_acctbal", "c_custkey", "c_nationkey"]
 DIMENSIONS = [f"d{i}" for i in range(64)]
 SHORT_NATIONS = {f"N{i}": f"NATION_{i}" for i in range(12)}
 COMPETITION = "line items"
@@ -341,7 +343,7 @@ def kmeans_k4(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def elbow(spark: SparkSession, sf: str) -> DataFrame:
-    return cluster.elbow(_vectors(spark, sf), range(2, 7))
+    return cluster.elbow(_vectors(spark, sf), range(1, 7))
 
 
 def pca_2d(spark: SparkSession, sf: str) -> DataFrame:
@@ -366,12 +368,31 @@ def regression_quality(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(rounded(good, 4, "mae", "rmse"), 8, "r2")
 
 
+def residuals(spark: SparkSession, sf: str) -> DataFrame:
+    items = table(spark, sf, "lineitem")
+    lines = regress.line_by_group(items, ["l_returnflag"], "l_extendedprice", "l_quantity")
+    fitted = items.join(lines, "l_returnflag").withColumn(
+        "predicted", F.col("intercept") + F.col("slope") * F.col("l_quantity")
+    )
+    return fitted.select(
+        "l_orderkey", "l_linenumber", F.round(regress.residual("predicted", "l_extendedprice"), 4).alias("residual")
+    )
+
+
 def train_test_split(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "customer").select(
         "c_custkey", regress.in_training(F.col("c_name")).alias("is_train")
     )
 
 
+def value_line(spark: SparkSession, sf: str) -> DataFrame:
+    """One feature and no penalty, so that SQL can fit the same models on the same training rows."""
+    part = table(spark, sf, "part").select("p_partkey", "p_type", (F.col("p_retailprice") - 930).alias("actual"), "p_size")
+    return regress.estimate_by_category(
+        part, "p_type", ["p_size"], "actual", "p_partkey", regressor=LinearRegression()
+    )
+
+
 def value_model(spark: SparkSession, sf: str) -> DataFrame:
     sold = table(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(
         F.count("*").cast("double").alias("sales"), F.avg("l_quantity").alias("quantity"),
@@ -398,6 +419,22 @@ def leaders_report(spark: SparkSession, sf: str) -> DataFrame:
     return reports.leaders_report(_line_leaders(spark, sf, "sum"), "l_suppkey", LINE_METRICS, COMPETITION)
 
 
+def cluster_report(spark: SparkSession, sf: str) -> DataFrame:
+    customers = table(spark, sf, "customer").withColumn("cluster", F.col("c_nationkey") % 4)
+    means = profile.profile(customers, "cluster", CUSTOMER_METRICS)
+    order = F.array_position(F.array(*[F.lit(m) for m in CUSTOMER_METRICS]), F.col("metric"))
+    high = profile.standouts(means, "cluster").withColumn("ord", order)
+    segments = profile.top_categories(customers, "cluster", "c_mktsegment")
+    return reports.clusters_report(
+        profile.sizes(customers, "cluster"), means,
+        profile.examples(customers, "cluster", "c_name", ["c_mktsegment"]),
+        profile.listed(high, "cluster", "metric", "ord", "standout"),
+        profile.listed(segments, "cluster", "c_mktsegment", "rank", "main_positions"),
+        customers.agg(F.avg(F.when(F.col("c_acctbal") > 0, 1.0).otherwise(0.0)).alias("explained")),
+        CUSTOMER_METRICS, 4, None, "c_name", "c_mktsegment",
+    )
+
+
 def table_scan(spark: SparkSession, sf: str) -> DataFrame:
     schema = T.StructType([
         T.StructField("s_suppkey", T.LongType()), T.StructField("s_name", T.StringType()),
@@ -446,7 +483,8 @@ QUERIES = {
         accent_fold, edit_distance, approx_name_join, approx_name_join_loose, inner_match, one_to_many, alias_lookup,
         dest_mismatch, metric_difference, unpivot_metrics, pivot_stats, total_with_groups, distinct_groups,
         category_top2, category_list, cluster_sizes, cluster_profile, standout_features, standout_features_scaled,
-        nearest_centroid, kmeans_k4, elbow, pca_2d, regr_by_group, regression_quality, train_test_split, value_model,
+        nearest_centroid, kmeans_k4, elbow, pca_2d, regr_by_group, regression_quality, residuals, train_test_split,
+        value_line, value_model, cluster_report,
         extremes_report, leaders_report, table_scan, csv_roundtrip, csv_multiline, csv_sorted, report_text,
     ]
 }

@@ -123,6 +123,63 @@ LEADER_LINES = f"""
     )"""
 
 
+CUSTOMER_METRICS = ["c_acctbal", "c_custkey", "c_nationkey"]
+CLUSTER_LINES = f"""
+    WITH c AS (SELECT *, c_nationkey % 4 AS cluster FROM customer),
+    sizes AS (SELECT cluster, count(*) AS size FROM c GROUP BY cluster),
+    means AS (
+        SELECT cluster, metric, list_position({CUSTOMER_METRICS}, metric) AS ord, avg(value) AS mean,
+               printf('%.6f', avg(value)) AS shown
+        FROM ({_long("c", ["cluster"], CUSTOMER_METRICS)}) GROUP BY cluster, metric
+    ),
+    high AS (
+        SELECT cluster, string_agg(metric, ', ' ORDER BY ord) AS items FROM (
+            SELECT *, avg(mean) OVER w + stddev_samp(mean) OVER w AS bar FROM means WINDOW w AS (PARTITION BY cluster)
+        ) WHERE mean > bar GROUP BY cluster
+    ),
+    main AS (
+        SELECT cluster, string_agg(c_mktsegment, ', ' ORDER BY place) AS items FROM (
+            SELECT cluster, c_mktsegment,
+                   row_number() OVER (PARTITION BY cluster ORDER BY count(*) DESC, c_mktsegment) AS place
+            FROM c GROUP BY cluster, c_mktsegment
+        ) WHERE place <= 2 GROUP BY cluster
+    ),
+    members AS (
+        SELECT * FROM (SELECT cluster, c_name, c_mktsegment,
+                              row_number() OVER (PARTITION BY cluster ORDER BY c_name) AS place FROM c) WHERE place <= 5
+        UNION ALL SELECT cluster, 'C_name', 'C_mktsegment', 0 FROM sizes
+    )
+    SELECT CAST(block AS BIGINT) AS block, CAST(line_no AS BIGINT) AS line_no, line FROM (
+        SELECT unnest([1, 1, 1, 1, 1, 1, 1, 1, 10, 10, 10, 15, 15]) AS block,
+               unnest([1, 2, 3, 4, 5, 6, 1004, 1005, 0, 1, 2, 1, 2]) AS line_no,
+               unnest(['PHÂN TÍCH CÁC CỤM CẦU THỦ BẰNG K-MEANS (K=4)', '', 'Số cụm (K) đã sử dụng: 4', '',
+                       'Số lượng cầu thủ trong mỗi cụm:', 'Cluster', '',
+                       'Đặc điểm trung bình của các chỉ số cho từng cụm (giá trị gốc, sau khi xử lý NaN):', '',
+                       '=== NHẬN XÉT VỀ KẾT QUẢ PHÂN CỤM ===', '2. Diễn giải các cụm:', '',
+                       '3. Nhận xét về biểu đồ PCA:']) AS line
+        UNION ALL SELECT 1, 1000 + cluster,
+                         cluster || '    ' || lpad(CAST(size AS VARCHAR), CAST(max(length(CAST(size AS VARCHAR))) OVER () AS INTEGER), ' ')
+                  FROM sizes
+        UNION ALL SELECT 2 + 2 * cluster, 0, '' FROM sizes
+        UNION ALL SELECT 2 + 2 * cluster, 1, '--- Cụm ' || cluster || ' (' || size || ' cầu thủ) ---' FROM sizes
+        UNION ALL SELECT 2 + 2 * cluster, 1 + ord,
+                         rpad(metric, 15, ' ') || lpad(shown, CAST(max(length(shown)) OVER (PARTITION BY cluster) AS INTEGER), ' ')
+                  FROM means
+        UNION ALL SELECT 3 + 2 * cluster, 0, '' FROM sizes
+        UNION ALL SELECT 3 + 2 * cluster, 1, 'Cầu thủ ví dụ (và vị trí của họ):' FROM sizes
+        UNION ALL SELECT 3 + 2 * cluster, 2 + place,
+                         lpad(c_name, CAST(max(length(c_name)) OVER (PARTITION BY cluster) AS INTEGER), ' ') || ' '
+                         || lpad(c_mktsegment, CAST(max(length(c_mktsegment)) OVER (PARTITION BY cluster) AS INTEGER), ' ')
+                  FROM members
+        UNION ALL SELECT 11 + cluster, 1, '- Cụm ' || cluster || ':' FROM sizes
+        UNION ALL SELECT 11 + cluster, 2, '  + Đặc trưng bởi các chỉ số cao: ' || coalesce(items, '')
+                  FROM sizes LEFT JOIN high USING (cluster)
+        UNION ALL SELECT 11 + cluster, 3, '  + Chủ yếu là: ' || items FROM main
+        UNION ALL SELECT 15, 3, '- Biểu đồ phân cụm 2D hiển thị các cụm trong không gian 2 chiều, giải thích '
+                         || printf('%.2f', avg(CASE WHEN c_acctbal > 0 THEN 100.0 ELSE 0.0 END)) || '% phương sai.' FROM c
+    )"""
+
+
 def _similar(left: str, condition: str, max_distance: int) -> str:
     """The closest part name for each distinct name, then back to the rows."""
     return f"""
@@ -295,10 +352,30 @@ SQL = {
         SELECT l_linestatus, count(*) AS n, round(avg(abs(e)), 4) AS mae, round(sqrt(avg(e * e)), 4) AS rmse,
                round(1 - avg(e * e) / var_pop(y), 8) AS r2
         FROM fitted GROUP BY l_linestatus""",
+    "residuals": """
+        WITH lines AS (
+            SELECT l_returnflag, regr_slope(l_extendedprice, l_quantity) AS slope,
+                   regr_intercept(l_extendedprice, l_quantity) AS intercept
+            FROM lineitem GROUP BY l_returnflag
+        )
+        SELECT l_orderkey, l_linenumber, round(intercept + slope * l_quantity - l_extendedprice, 4) AS residual
+        FROM lineitem JOIN lines USING (l_returnflag)""",
+    "value_line": """
+        WITH part_rows AS (
+            SELECT p_partkey, p_type, p_retailprice - 930 AS actual, p_size,
+                   CAST('0x' || substr(md5(CAST(p_partkey AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 80 AS is_train FROM part
+        ), lines AS (
+            SELECT p_type, regr_slope(actual, p_size) AS slope, regr_intercept(actual, p_size) AS intercept
+            FROM part_rows WHERE is_train GROUP BY p_type
+        )
+        SELECT p_partkey, p_type, actual, p_size, is_train,
+               round(greatest(intercept + slope * p_size, 0.1::DOUBLE), 2) AS predicted
+        FROM part_rows JOIN lines USING (p_type)""",
     "train_test_split": """
         SELECT c_custkey, CAST('0x' || substr(md5(c_name), 1, 8) AS BIGINT) % 100 < 80 AS is_train FROM customer""",
     "extremes_report": EXTREME_LINES,
     "leaders_report": LEADER_LINES,
+    "cluster_report": CLUSTER_LINES,
     "table_scan": "SELECT s_acctbal, s_name, s_suppkey FROM supplier",
     "csv_roundtrip": """
         SELECT c_custkey, c_name, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS c_acctbal FROM customer""",
