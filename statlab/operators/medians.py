@@ -23,7 +23,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from statlab.operators.reshape import join_null_safe, number, to_long
+from statlab.operators.reshape import batches, join_null_safe, number, stacked, to_long
 from statlab.session import stage
 
 BINS_PER_OCTAVE = 16
@@ -95,32 +95,41 @@ def _find_bins(rows: DataFrame, targets: list[list[str]]) -> DataFrame:
     return _narrowed(_holding_middle(ranked, TARGET, "bin"))
 
 
-def _count_values(wide: DataFrame, metrics: Sequence[str], found: DataFrame, per_group: bool) -> DataFrame:
+def _count_values(wide: DataFrame, metrics: Sequence[str], found: DataFrame, per_group: bool) -> DataFrame | None:
     """Counts of the values that lie within a bin still open: ``grp, metric, value, cnt``.
 
-    A row meets the ranges of its group once, before it is taken apart into metrics.
+    A row meets the ranges of its group before it is taken apart into metrics. None if every
+    median is known.
     """
     open_bins = found.where("middle is null")
     # Two numbers per metric of the total come to the driver and go into the plan as literals.
     total = {r["metric"]: r for r in open_bins.where("is_total").select("metric", "low", "high").collect()}
     if per_group:
-        own = open_bins.where("not is_total").groupBy("grp").pivot("metric", list(metrics)).agg(
-            F.min("low").alias("low"), F.max("high").alias("high")
+        ranges = stage(
+            open_bins.where("not is_total").groupBy("grp").pivot("metric", list(metrics)).agg(
+                F.min("low").alias("low"), F.max("high").alias("high")
+            ),
+            "median-ranges",
         )
-        wide = join_null_safe(wide, stage(own, "median-ranges"), ["grp"], "left")
-    inside = {}
-    for m in metrics:
-        tests = []
+
+    def kept(part: Sequence[str]) -> DataFrame:
+        rows = wide.select("grp", *part)
         if per_group:
-            tests.append(F.col(m).between(F.col(f"{m}_low"), F.col(f"{m}_high")))
-        if m in total:
-            tests.append(F.col(m).between(F.lit(total[m]["low"]), F.lit(total[m]["high"])))
-        if tests:
-            inside[m] = F.when(reduce(or_, tests), F.col(m))
-    if not inside:
+            own = ranges.select("grp", *[f"{m}_{end}" for m in part for end in ("low", "high")])
+            rows = join_null_safe(rows, own, ["grp"], "left")
+        inside = []
+        for m in part:
+            tests = [F.col(m).between(F.lit(total[m]["low"]), F.lit(total[m]["high"]))] if m in total else []
+            if per_group:
+                tests.append(F.col(m).between(F.col(f"{m}_low"), F.col(f"{m}_high")))
+            inside.append(F.when(reduce(or_, tests), F.col(m)).alias(m))
+        return to_long(rows.select("grp", *inside), ["grp"], part)
+
+    searched = [m for m in metrics if per_group or m in total]
+    if not searched:
         return None
-    kept = wide.select("grp", *[c.alias(m) for m, c in inside.items()])
-    return to_long(kept, ["grp"], list(inside)).groupBy("grp", "metric", "value").agg(F.count("*").alias("cnt"))
+    long = stacked(kept(part) for part in batches(searched, 3))
+    return long.groupBy("grp", "metric", "value").agg(F.count("*").alias("cnt"))
 
 
 def _inside(values: DataFrame, runs: DataFrame) -> DataFrame:

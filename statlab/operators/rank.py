@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from statlab.operators.reshape import aggregate_long, number, to_long
+from statlab.operators.reshape import aggregate_long, batches, number, stacked, to_long
 
 
 def first_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], k: int) -> DataFrame:
@@ -47,16 +47,20 @@ def extremes(
     and not every value of the table.
     """
     bounds = _bounds(df, ident, metrics, k)
-    beyond = []
-    for m in metrics:
-        high, low = bounds.get(m, (None, None))
-        tests = {
-            "high": F.lit(True) if high is None else number(m) >= high,
-            "low": F.lit(True) if low is None else number(m) <= low,
-        }
-        beyond += [F.when(tests[s], number(m)).alias(f"{s}:{m}") for s in sides]
-    wide = df.select(ident, *beyond)
-    far = to_long(wide, [ident], wide.columns[1:]).select(
+
+    def beyond(metric: str, side: str) -> Column:
+        high, low = bounds.get(metric, (None, None))
+        value = number(metric)
+        if side == "high":
+            return value if high is None else F.when(value >= high, value)
+        return value if low is None else F.when(value <= low, value)
+
+    def far_values(part: Sequence[str]) -> DataFrame:
+        names = [f"{s}:{m}" for m in part for s in sides]
+        wide = df.select(ident, *[beyond(m, s).alias(f"{s}:{m}") for m in part for s in sides])
+        return to_long(wide, [ident], names)
+
+    far = stacked(far_values(part) for part in batches(metrics, len(sides))).select(
         F.substring_index("metric", ":", 1).alias("side"), F.regexp_replace("metric", "^[a-z]+:", "").alias("metric"),
         ident, "value",
     )

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The generated code of an aggregate is used up to spark.sql.codegen.maxFields = 100 buffer fields.
-BUFFER_FIELDS = 90
+# Generated code is used for operators of up to spark.sql.codegen.maxFields = 100 fields.
+FIELDS = 90
 
 
 def number(metric: str) -> Column:
@@ -16,10 +17,26 @@ def number(metric: str) -> Column:
     return F.nanvl(F.col(metric).cast("double"), F.lit(None).cast("double"))
 
 
+def batches(metrics: Sequence[str], fields: int = 1) -> list[Sequence[str]]:
+    """The metrics in runs that stay inside generated code, at ``fields`` per metric.
+
+    Each run reads its own columns, so that together they scan a stored table once. A table that
+    is the result of a join is better written first (``session.stage``).
+    """
+    size = max(1, FIELDS // fields)
+    return [metrics[i:i + size] for i in range(0, len(metrics), size)]
+
+
+def stacked(parts: Iterable[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
 def to_long(df: DataFrame, ids: Sequence[str], metrics: Sequence[str], keep_nulls: bool = False) -> DataFrame:
     """One row per id and metric: ``ids, metric, value``."""
-    wide = df.select(*ids, *[number(m).alias(m) for m in metrics])
-    long = wide.unpivot(list(ids), list(metrics), "metric", "value")
+    long = stacked(
+        df.select(*ids, *[number(m).alias(m) for m in part]).unpivot(list(ids), list(part), "metric", "value")
+        for part in batches(metrics)
+    )
     return long if keep_nulls else long.where("value is not null")
 
 
@@ -38,15 +55,12 @@ def aggregate_long(
 ) -> DataFrame:
     """Aggregate each metric over the wide rows, then turn the small result long.
 
-    Rows are never multiplied by the number of metrics. The metrics are taken in batches that keep
-    the aggregate (``fields`` buffer fields per metric) inside generated code; batches read different
-    columns, so together they scan the table once. ``grand_total`` adds the row over everything,
-    told apart from a null group by the ``is_total`` column.
+    Rows are never multiplied by the number of metrics, which are taken in batches (``fields``
+    buffer fields per metric). ``grand_total`` adds the row over everything, told apart from a null
+    group by the ``is_total`` column.
     """
-    size = max(1, BUFFER_FIELDS // fields)
-    result = None
-    for start in range(0, len(metrics), size):
-        chunk = metrics[start:start + size]
+    parts = []
+    for chunk in batches(metrics, fields):
         sums = [
             F.struct(F.lit(m).alias("metric"), *[f(number(m)).alias(s) for s, f in stats.items()])
             for m in chunk
@@ -58,9 +72,8 @@ def aggregate_long(
             keep = ["is_total", *group]
         else:
             grouped, flag, keep = df.groupBy(*group), [], list(group)
-        part = grouped.agg(*flag, cells).select(*keep, F.inline("cells"))
-        result = part if result is None else result.unionByName(part)
-    return result
+        parts.append(grouped.agg(*flag, cells).select(*keep, F.inline("cells")))
+    return stacked(parts)
 
 
 def union_total(groups: DataFrame, total: DataFrame, key: str, label: str = "all") -> DataFrame:

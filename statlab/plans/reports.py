@@ -125,6 +125,7 @@ def clusters_report(
     ``explained`` a single row. All hold a few rows per cluster.
     """
     labels = labels or {}
+    sizes, members = stage(sizes, "sizes"), stage(members, "members")
     spark = sizes.sparkSession
     long = "long"
     after = 2 + 2 * k

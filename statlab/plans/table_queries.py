@@ -11,7 +11,7 @@ from statlab import catalog
 from statlab.functions import clean
 from statlab.operators import cluster, impute, joins, leaders, profile, rank, regress, reshape, stats
 from statlab.plans import reports
-from statlab.session import new_path
+from statlab.session import new_path, stage
 from statlab.sources import files
 
 LINE_METRICS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -421,7 +421,7 @@ def leaders_report(spark: SparkSession, sf: str) -> DataFrame:
 
 def cluster_report(spark: SparkSession, sf: str) -> DataFrame:
     customers = table(spark, sf, "customer").withColumn("cluster", F.col("c_nationkey") % 4)
-    means = profile.profile(customers, "cluster", CUSTOMER_METRICS)
+    means = stage(profile.profile(customers, "cluster", CUSTOMER_METRICS), "means")
     order = F.array_position(F.array(*[F.lit(m) for m in CUSTOMER_METRICS]), F.col("metric"))
     high = profile.standouts(means, "cluster").withColumn("ord", order)
     segments = profile.top_categories(customers, "cluster", "c_mktsegment")
