@@ -63,14 +63,14 @@ def estimate_by_category(
 
     The rows are written once, in one folder per category, so that a fit reads its category only.
     Categories are few by nature (positions); more than ``MAX_CATEGORIES`` is an error, and rows
-    without one get no estimate. The regressor is any MLlib regressor, a ridge line by default.
+    without one get no estimate. The regressor is any MLlib regressor, least squares by default.
     Features must not be null.
     """
     marked = stage(df.withColumn("is_train", in_training(F.col(key), percent)), "by-category", [category])
     names = [r[0] for r in marked.select(category).distinct().limit(MAX_CATEGORIES + 1).collect()]
     if len(names) > MAX_CATEGORIES:
         raise ValueError(f"more than {MAX_CATEGORIES} values in {category}")
-    regressor = regressor or LinearRegression(regParam=0.1)
+    regressor = regressor or LinearRegression()
     regressor = regressor.copy({
         regressor.featuresCol: "_features", regressor.labelCol: actual, regressor.predictionCol: "_raw",
     })

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -386,11 +385,9 @@ def train_test_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def value_line(spark: SparkSession, sf: str) -> DataFrame:
-    """One feature and no penalty, so that SQL can fit the same models on the same training rows."""
+    """One feature, so that SQL can fit the same models on the same training rows."""
     part = table(spark, sf, "part").select("p_partkey", "p_type", (F.col("p_retailprice") - 930).alias("actual"), "p_size")
-    return regress.estimate_by_category(
-        part, "p_type", ["p_size"], "actual", "p_partkey", regressor=LinearRegression()
-    )
+    return regress.estimate_by_category(part, "p_type", ["p_size"], "actual", "p_partkey")
 
 
 def value_model(spark: SparkSession, sf: str) -> DataFrame:

@@ -55,6 +55,10 @@ def test_rows_of_a_hot_name_all_get_their_match(spark):
     assert got == {"John Smyth": 2000, "Name 17": len(near)}
 
 
+def test_match_where_nothing_is_broadcast(spark, no_broadcast):
+    assert match(spark, ("team", "club"), 3) == {"Cole Bakker": ("v1", 0), "Sávio Luz": ("v2", 0)}
+
+
 def test_aliases_and_contradictions(spark):
     frame = spark.createDataFrame([("Man T", "Manford Town"), ("Elsewhere", "Manford Town"), (None, "x")], "c string, team string")
     resolved = joins.resolve_alias(frame, "c", {"Man T": "Manford Town"}, "full")

@@ -82,9 +82,7 @@ def test_model_per_category(spark):
         "id", F.when(F.col("id") % 2 == 0, "GK").otherwise("FW, x=y").alias("position"),
         F.pmod(F.xxhash64("id"), F.lit(50)).cast("double").alias("x"),
     ).withColumn("value", F.when(F.col("position") == "GK", 3 * F.col("x") + 1).otherwise(20 - 2 * F.col("x")))
-    from pyspark.ml.regression import LinearRegression
-
-    found = regress.estimate_by_category(frame, "position", ["x"], "value", "id", regressor=LinearRegression())
+    found = regress.estimate_by_category(frame, "position", ["x"], "value", "id")
     rows = found.collect()
     assert len(rows) == 400 and {r["position"] for r in rows} == {"GK", "FW, x=y"}
     assert all(r["predicted"] == pytest.approx(max(r["value"], 0.1), abs=0.01) for r in rows)
@@ -94,6 +92,15 @@ def test_model_per_category(spark):
     assert again == {r["id"]: r["is_train"] for r in rows}
 
 
+def test_any_regressor_can_be_used(spark):
+    from pyspark.ml.regression import GBTRegressor
+
+    frame = spark.range(200).select("id", F.lit("MF").alias("position"), (F.col("id") % 10).cast("double").alias("x"))
+    frame = frame.withColumn("value", F.when(F.col("x") > 4, 30.0).otherwise(-5.0))
+    found = regress.estimate_by_category(frame, "position", ["x"], "value", "id", regressor=GBTRegressor(maxIter=2, seed=1))
+    assert {r["predicted"] for r in found.collect()} == {30.0, 0.1}
+
+
 def test_too_many_categories_are_refused(spark, monkeypatch):
     monkeypatch.setattr(regress, "MAX_CATEGORIES", 2)
     frame = spark.range(9).select("id", F.col("id").cast("string").alias("c"), F.lit(1.0).alias("x"), F.lit(1.0).alias("y"))

@@ -68,6 +68,14 @@ def test_one_group_holds_nearly_all_rows(spark):
     assert found[(True, None, "v")] == frame.agg(F.median("v")).first()[0]
 
 
+def test_median_where_ranges_are_not_broadcast(spark, no_broadcast):
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "a", "b", None]), rng.gauss(0, 1)) for _ in range(2000)]
+    found = medians(exact_medians(spark.createDataFrame(rows, "g string, v double"), ["v"], "g"))
+    for g in ("a", "b", None):
+        assert found[(False, g, "v")] == pytest.approx(statistics.median(v for k, v in rows if k == g), rel=1e-15)
+
+
 def test_nan_is_missing(spark):
     frame = spark.createDataFrame([("a", 1.0), ("a", math.nan), ("a", 3.0)], "g string, v double")
     row = group_stats_long(frame, "g", ["v"]).where("not is_total").first()
