@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statlab.operators.impute import median_impute
+from statlab.session import side_by_side
 
 MAX_CENTROIDS = 10_000
 
@@ -52,22 +54,29 @@ def _spread(vectors: DataFrame, features: str) -> float:
 
 
 def elbow(
-    df: DataFrame, ks: Iterable[int] = range(1, 11), seed: int = 42, max_iter: int = 20, features: str = "features"
+    df: DataFrame,
+    ks: Iterable[int] = range(1, 11),
+    seed: int = 42,
+    max_iter: int = 20,
+    features: str = "features",
+    threads: int = 4,
 ) -> DataFrame:
     """``k, inertia, drop`` for each K; the vectors are kept once for all fits."""
+    ks = list(ks)
     vectors = df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def cost(k: int) -> float:
+        if k == 1:
+            return _spread(vectors, features)
+        fit = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=features).fit(vectors)
+        return float(fit.summary.trainingCost)
+
     try:
-        rows, before = [], None
-        for k in ks:
-            if k == 1:
-                cost = _spread(vectors, features)
-            else:
-                fit = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=features).fit(vectors)
-                cost = float(fit.summary.trainingCost)
-            rows.append((k, cost, None if before is None else before - cost))
-            before = cost
+        costs = side_by_side(df.sparkSession, [partial(cost, k) for k in ks], threads)
     finally:
         vectors.unpersist()
+    drops = [None, *[a - b for a, b in zip(costs, costs[1:])]]
+    rows = list(zip(ks, costs, drops))
     return df.sparkSession.createDataFrame(rows, "k int, inertia double, drop double")
 
 

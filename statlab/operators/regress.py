@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
@@ -11,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statlab.functions.clean import clamp_floor
-from statlab.session import stage
+from statlab.operators.reshape import stacked
+from statlab.session import side_by_side, stage
 
 MAX_CATEGORIES = 200
 
@@ -58,6 +60,7 @@ def estimate_by_category(
     floor: float = 0.1,
     regressor=None,
     predicted: str = "predicted",
+    threads: int = 4,
 ) -> DataFrame:
     """One model per category, fitted on the training share: adds ``predicted`` and ``is_train``.
 
@@ -74,12 +77,13 @@ def estimate_by_category(
     regressor = regressor.copy({
         regressor.featuresCol: "_features", regressor.labelCol: actual, regressor.predictionCol: "_raw",
     })
-    result = None
-    for name in sorted(n for n in names if n is not None):
+
+    def estimated(name) -> DataFrame:
         rows = marked.where(F.col(category) == name)
-        pipeline = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="_features"), regressor])
+        pipeline = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="_features"), regressor.copy()])
         model = pipeline.fit(rows.where(F.col("is_train") & F.col(actual).isNotNull()))
-        part = model.transform(rows).withColumn(predicted, F.round(clamp_floor(F.col("_raw"), floor), 2))
-        part = part.drop("_features", "_raw")
-        result = part if result is None else result.unionByName(part)
-    return result
+        value = F.round(clamp_floor(F.col("_raw"), floor), 2)
+        return model.transform(rows).withColumn(predicted, value).drop("_features", "_raw")
+
+    known = sorted(n for n in names if n is not None)
+    return stacked(side_by_side(df.sparkSession, [partial(estimated, n) for n in known], threads))

@@ -5,8 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +47,12 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def side_by_side(spark: SparkSession, tasks: Sequence[Callable[[], Any]], threads: int) -> list[Any]:
+    """The results of independent fits, in order, with up to ``threads`` of them submitted at a time."""
+    with ThreadPool(max(1, min(threads, len(tasks)))) as pool:
+        return pool.map(lambda task: task(), [inheritable_thread_target(spark)(t) for t in tasks])
+
+
 def stage(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
