@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statlab.functions.clean import fold_name
-from statlab.session import stage
+from statlab.session import side_by_side, stage
 
 MAX_ALIASES = 10_000
 BROADCAST_KEYS = 200_000
@@ -112,19 +113,21 @@ def approx_name_join(
     same name to the first id. Only distinct names are compared, however many rows carry one; they
     are written once for both sides, and equal ones are taken first by a plain join.
     """
-    def prepared(df: DataFrame, name: str, side: int) -> DataFrame:
+    def compared(name: str, side: int) -> list[Column]:
         place = F.col(block[side]).cast("string") if block else F.lit("")
-        return df.withColumns({"folded": fold_name(F.col(name)), "block": place})
+        return [place.alias("block"), fold_name(F.col(name)).alias("folded")]
 
-    rows = prepared(left, left_name, 0)
     usable = "folded is not null and block is not null"
-    targets = stage(
-        prepared(right, right_name, 1).where(usable).groupBy("block", "folded")
-        .agg(F.min(F.struct(F.col(right_id).alias("match_id"), F.col(right_name).alias("match_name"))).alias("hit"))
-        .select("block", F.col("folded").alias("match"), "hit.match_name", "hit.match_id"),
-        "names-right",
+    hit = F.struct(F.col(right_id).alias("match_id"), F.col(right_name).alias("match_name")).alias("hit")
+    targets = (
+        right.select(*compared(right_name, 1), hit).where(usable)
+        .groupBy("block", "folded").agg(F.min("hit").alias("hit"))
+        .select("block", F.col("folded").alias("match"), "hit.match_name", "hit.match_id")
+    )
+    names = left.select(*compared(left_name, 0)).where(usable).distinct()
+    targets, names = side_by_side(
+        left.sparkSession, [partial(stage, targets, "names-right"), partial(stage, names, "names-left")], 2
     )
-    names = stage(rows.where(usable).select("block", "folded").distinct(), "names-left")
     known = targets.select("block", F.col("match").alias("folded"))
     equal = names.join(known, ["block", "folded"], "left_semi").select(
         "block", "folded", F.col("folded").alias("match"), F.lit(0).alias("distance")
@@ -137,6 +140,9 @@ def approx_name_join(
         best.join(targets, ["block", "match"]).select("block", "folded", "match_name", "match_id", "distance"),
         "names-found",
     )
-    return rows.join(found, ["block", "folded"], how).select(
-        *left.columns, "match_name", "match_id", "distance"
+    place, folded = compared(left_name, 0)
+    return (
+        left.withColumns({"_block": place, "_folded": folded})
+        .join(found, (F.col("_block") == found["block"]) & (F.col("_folded") == found["folded"]), how)
+        .select(*[left[c] for c in left.columns], "match_name", "match_id", "distance")
     )

@@ -138,9 +138,10 @@ def clusters_report(
     number, count = F.col("cluster"), F.col("size")
     width = Window.partitionBy()
     text = count.cast("string")
+    shown_size = F.lpad(text, F.max(F.length(text)).over(width), " ")
     size_lines = sizes.select(
         F.lit(1).cast(long).alias("block"), (1000 + number).cast(long).alias("line_no"),
-        F.concat(number.cast("string"), F.lit("    "), F.lpad(text, F.max(F.length(text)).over(width), " ")).alias("line"),
+        F.concat(number.cast("string"), F.lit("    "), shown_size).alias("line"),
     )
     headings = sizes.select(
         (2 + 2 * number).cast(long).alias("block"), F.lit(1).cast(long).alias("line_no"),

@@ -54,7 +54,8 @@ def group_stats_single_row(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def null_safe_stats(spark: SparkSession, sf: str) -> DataFrame:
-    long = stats.group_stats_long(labelled_documents(spark, sf), "lang", LABEL_METRICS).drop("is_total")
+    known = stage(labelled_documents(spark, sf), "labelled")
+    long = stats.group_stats_long(known, "lang", LABEL_METRICS).drop("is_total")
     return rounded(long, 6, "median", "mean", "std")
 
 
@@ -81,7 +82,8 @@ def bottom3_per_metric(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def extremes_of_lines(spark: SparkSession, sf: str) -> DataFrame:
-    keyed = table(spark, sf, "lineitem").withColumn("line", F.format_string("%d/%d/%.2f", "l_orderkey", "l_linenumber", "l_extendedprice"))
+    line = F.format_string("%d/%d/%.2f", "l_orderkey", "l_linenumber", "l_extendedprice")
+    keyed = table(spark, sf, "lineitem").withColumn("line", line)
     return rank.extremes(keyed, "line", LINE_METRICS)
 
 
@@ -172,7 +174,9 @@ def clamp_floor(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def median_impute(spark: SparkSession, sf: str) -> DataFrame:
-    known = labelled_documents(spark, sf).withColumn("n_chars", F.when(F.col("doc_id") % 5 != 0, F.col("n_chars")))
+    known = stage(labelled_documents(spark, sf), "labelled").withColumn(
+        "n_chars", F.when(F.col("doc_id") % 5 != 0, F.col("n_chars"))
+    )
     return impute.median_impute(known, LABEL_METRICS).select("doc_id", *LABEL_METRICS)
 
 
@@ -320,7 +324,8 @@ def standout_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def standout_features_scaled(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(profile.standouts(profile.profile(_dimensions(spark, sf), "label", DIMENSIONS), "label", 1.5, True), 6, "mean")
+    means = profile.profile(_dimensions(spark, sf), "label", DIMENSIONS)
+    return rounded(profile.standouts(means, "label", 1.5, scaled=True), 6, "mean")
 
 
 # --- clustering and projection
@@ -400,7 +405,8 @@ def value_model(spark: SparkSession, sf: str) -> DataFrame:
         part.join(sold, "p_partkey"), "p_type", ["p_size", "sales", "quantity", "price"], "actual", "p_partkey"
     )
     return estimated.orderBy(F.desc("predicted"), "p_partkey").select(
-        "p_partkey", "p_type", "actual", "predicted", "is_train", F.round(regress.residual("predicted", "actual"), 2).alias("residual")
+        "p_partkey", "p_type", "actual", "predicted", "is_train",
+        F.round(regress.residual("predicted", "actual"), 2).alias("residual"),
     )
 
 
