@@ -131,7 +131,8 @@ def clusters_report(
     after = 2 + 2 * k
     frame = [(1, 1, CLUSTER_TITLE % k), (1, 2, ""), (1, 3, CLUSTER_K % k), (1, 4, ""), (1, 5, CLUSTER_SIZES),
              (1, 6, CLUSTER_HEAD), (1, 1000 + k, ""), (1, 1001 + k, CLUSTER_MEANS),
-             (after, 0, ""), (after, 1, CLUSTER_REMARKS), (after, 2, CLUSTER_READING), (after + k + 1, 1, ""), (after + k + 1, 2, PCA_PART)]
+             (after, 0, ""), (after, 1, CLUSTER_REMARKS), (after, 2, CLUSTER_READING),
+             (after + k + 1, 1, ""), (after + k + 1, 2, PCA_PART)]
     for c in range(k):
         frame += [(2 + 2 * c, 0, ""), (3 + 2 * c, 0, ""), (3 + 2 * c, 1, CLUSTER_EXAMPLES),
                   (after + 1 + c, 1, CLUSTER_NAME % c)]

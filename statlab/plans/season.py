@@ -101,10 +101,11 @@ def player_transfers(
     )
     parsed = transfers.select(
         F.col("Player").alias("player"),
+        F.col("Transfer Fee").alias("fee"), F.col("Transfer Type").alias("transfer"),
         fee_millions(F.col("Transfer Fee")).alias("fee_m"),
         fee_kind(F.col("Transfer Fee")).alias("fee_kind"),
         route(F.col("Transfer Type")).alias("r"),
-    ).select("player", "fee_m", "fee_kind", "r.from_club", "r.to_club")
+    ).select("player", "fee", "transfer", "fee_m", "fee_kind", "r.from_club", "r.to_club")
     resolved = resolve_alias(parsed, "to_club", aliases, "to_team")
     matched = approx_name_join(resolved, regulars, "player", "known_player", "known_player", None, max_distance)
     return (
@@ -112,12 +113,21 @@ def player_transfers(
         .join(regulars, F.col("match_id") == F.col("known_player"))
         .select(
             F.col("known_player").alias("player"), F.col("known_team").alias("team"),
-            F.col("known_minutes").alias("minutes"), "fee_m", "fee_kind", "from_club", "to_club", "to_team",
+            F.col("known_minutes").alias("minutes"), "fee", "transfer",
+            "fee_m", "fee_kind", "from_club", "to_club", "to_team",
             "source_name", "distance", (F.col("to_team") != F.col("known_team")).alias("contradicts"),
         )
     )
 
 
+def transfer_table(found: DataFrame) -> DataFrame:
+    """The transfers as printed: the player's name, team and minutes with the fee and route as text."""
+    return found.select(
+        F.col("player").alias("Player"), F.col("team").alias("Team"), F.col("minutes").cast("int").alias("Minutes"),
+        F.col("fee").alias("Transfer Fee"), F.col("transfer").alias("Transfer Type"),
+    )
+
+
 def contradicting_transfers(transfers: DataFrame) -> DataFrame:
     return contradicting(transfers, "to_team", "team")
 

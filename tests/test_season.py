@@ -100,7 +100,7 @@ def test_elbow(players):
     assert rows[0]["inertia"] > rows[-1]["inertia"]
 
 
-def test_transfers(spark, players, rows):
+def test_transfers(spark, players, rows, tmp_path):
     regular = [r for r in rows if r["minutes"] > 900][:2]
     a, b = regular
     data = [
@@ -116,6 +116,11 @@ def test_transfers(spark, players, rows):
         (a["player"], 21.4, "paid", a["team"], False), (a["player"], 0.0, "free", "Elsewhere", True),
         (b["player"], 5.0, "paid", b["team"], False),
     ])
+    printed = season.transfer_table(found)
+    assert printed.columns == [f.name for f in catalog.TRANSFERS] and printed.dtypes[2] == ("Minutes", "int")
+    files.write_csv(printed, str(tmp_path / "fees"))
+    back = files.read_csv(spark, str(tmp_path / "fees"), catalog.TRANSFERS, multiline=True)
+    assert sorted(back.collect()) == sorted(printed.collect())
     assert [r["to_team"] for r in season.contradicting_transfers(found).collect()] == ["Elsewhere"]
 
 
