@@ -12,7 +12,7 @@ from statlab.functions.clean import fold_name
 from statlab.session import side_by_side, stage
 
 MAX_ALIASES = 10_000
-BROADCAST_KEYS = 200_000
+BROADCAST_KEYS = 500_000
 
 
 def inner_match(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -75,6 +75,15 @@ def _with_keys(names: DataFrame, max_distance: int) -> DataFrame:
     )
 
 
+def _count_keys(names: DataFrame, max_distance: int) -> float:
+    """At most this many keys: the ways to leave out up to ``max_distance`` letters of each name."""
+    ways = total = F.lit(1.0)
+    for d in range(1, max_distance + 1):
+        ways = ways * F.greatest(F.length("folded") - (d - 1), F.lit(0)) / d
+        total = total + ways
+    return names.agg(F.sum(total)).first()[0] or 0
+
+
 def similar_names(
     left: DataFrame, right: DataFrame, max_distance: int, best_only: bool = True
 ) -> DataFrame:
@@ -84,11 +93,16 @@ def similar_names(
     pairs come from an equi-join on those texts. Names of a block are never paired with each other
     wholesale, and no partner is left out.
     """
+    keys = _with_keys(left, max_distance)
     other = _with_keys(right, max_distance).withColumnsRenamed({"folded": "match", "block": "right_block"})
     # A name has many keys, which the planner does not foresee; so count them before choosing the join.
-    other = stage(other, "name-keys")
-    other = F.broadcast(other) if other.count() <= BROADCAST_KEYS else other.hint("merge")
-    pairs = _with_keys(left, max_distance).join(other, "key").where(F.col("block") == F.col("right_block"))
+    if _count_keys(right, max_distance) <= BROADCAST_KEYS:
+        other = F.broadcast(other)
+    elif _count_keys(left, max_distance) <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)
+    else:
+        other = other.hint("merge")
+    pairs = keys.join(other, "key").where(F.col("block") == F.col("right_block"))
     near = pairs.withColumn("distance", F.levenshtein("folded", "match", max_distance)).where("distance >= 0")
     if best_only:
         best = near.groupBy("block", "folded").agg(F.min(F.struct("distance", "match")).alias("best"))
