@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import partial
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
@@ -12,6 +15,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statlab.operators.impute import median_impute
 from statlab.session import side_by_side
@@ -102,22 +106,36 @@ def group_centroids(df: DataFrame, group: str, array: str) -> DataFrame:
 def nearest_centroid(df: DataFrame, array: str, centroids: DataFrame, label: str) -> DataFrame:
     """Adds ``nearest`` and ``distance`` to the closest centroid, the smaller label on a tie.
 
-    The centroids travel with the plan as one array, so their number is bounded: beyond
-    ``MAX_CENTROIDS`` the query fails rather than grow the array.
+    The centroids go to the tasks with the function that measures a batch of rows, so their number
+    is checked: with more than ``MAX_CENTROIDS`` it is refused.
     """
-    entry = F.struct(F.col(label).alias("label"), F.col("centroid"))
-    known = centroids.limit(MAX_CENTROIDS + 1).agg(
-        F.when(F.count("*") <= MAX_CENTROIDS, F.collect_list(entry))
-        .otherwise(F.raise_error(F.lit("too many centroids"))).alias("c")
-    ).scalar()
-    measured = F.transform(F.col("_known"), lambda c: F.struct(
-        F.aggregate(
-            F.zip_with(F.col(array), c["centroid"], lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, d: s + d
-        ).alias("squared"),
-        c["label"].alias("label"),
-    ))
-    return (
-        df.withColumn("_known", known).withColumn("_best", F.array_min(measured))
-        .withColumns({"nearest": F.col("_best.label"), "distance": F.sqrt("_best.squared")})
-        .drop("_known", "_best")
-    )
+    known = centroids.select(label, "centroid").orderBy(label).limit(MAX_CENTROIDS + 1).collect()
+    if len(known) > MAX_CENTROIDS:
+        raise ValueError("too many centroids")
+    labels = [r[0] for r in known]
+    centres = np.array([r[1] for r in known], dtype=float)
+    result = T.StructType([
+        T.StructField("nearest", centroids.schema[label].dataType), T.StructField("distance", T.DoubleType()),
+    ])
+
+    @F.arrow_udf(result)
+    def closest(points: pa.Array) -> pa.Array:
+        there = points.is_valid().to_numpy(zero_copy_only=False)
+        lengths = pc.list_value_length(points.drop_null())
+        if pc.any(pc.not_equal(lengths, centres.shape[1])).as_py():
+            raise ValueError("a point has another number of dimensions than the centroids")
+        x = points.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, centres.shape[1])
+        squared, place = np.full(len(x), np.inf), np.full(len(x), -1)
+        for i, centre in enumerate(centres):
+            here = ((x - centre) ** 2).sum(axis=1)
+            nearer = here < squared
+            squared[nearer], place[nearer] = here[nearer], i
+        at, far = np.full(len(points), -1), np.full(len(points), np.inf)
+        at[there], far[there] = place, np.sqrt(squared)
+        index = pa.array(at, mask=at < 0)
+        return pa.StructArray.from_arrays(
+            [pa.array(labels).take(index), pa.array(far, mask=at < 0)], names=["nearest", "distance"]
+        )
+
+    found = df.withColumn("_found", closest(F.col(array)))
+    return found.withColumns({"nearest": F.col("_found.nearest"), "distance": F.col("_found.distance")}).drop("_found")

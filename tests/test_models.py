@@ -63,18 +63,23 @@ def test_standouts_and_categories(spark):
 
 
 def test_nearest_centroid_and_tie(spark):
-    points = spark.createDataFrame([(1, [0.0, 1.0]), (2, [5.0, 5.0]), (3, [2.5, 2.5])], "id int, v array<double>")
+    points = spark.createDataFrame(
+        [(1, [0.0, 1.0]), (2, [5.0, 5.0]), (3, [2.5, 2.5]), (4, None), (5, [None, 1.0])], "id int, v array<float>"
+    )
     centres = spark.createDataFrame([(7, [5.0, 5.0]), (3, [0.0, 0.0])], "label int, centroid array<double>")
     got = {r["id"]: (r["nearest"], r["distance"]) for r in cluster.nearest_centroid(points, "v", centres, "label").collect()}
     assert got[1] == (3, 1.0) and got[2] == (7, 0.0) and got[3][0] == 3
+    assert got[4] == got[5] == (None, None)
+    with pytest.raises(Exception, match="another number of dimensions"):
+        cluster.nearest_centroid(spark.createDataFrame([([1.0],)], "v array<double>"), "v", centres, "label").collect()
 
 
 def test_too_many_centroids_are_refused(spark, monkeypatch):
     monkeypatch.setattr(cluster, "MAX_CENTROIDS", 1)
     centres = spark.createDataFrame([(7, [5.0]), (3, [0.0])], "label int, centroid array<double>")
     points = spark.createDataFrame([([0.0],)], "v array<double>")
-    with pytest.raises(Exception, match="too many centroids"):
-        cluster.nearest_centroid(points, "v", centres, "label").collect()
+    with pytest.raises(ValueError, match="too many centroids"):
+        cluster.nearest_centroid(points, "v", centres, "label")
 
 
 def test_model_per_category(spark):
