@@ -54,3 +54,9 @@ def test_same_as_sql(spark, db, name):
 @pytest.mark.parametrize("name", sorted(WITHOUT_SQL))
 def test_runs_on_whole_table(spark, name):
     assert QUERIES[name](spark, FOLDER).count() > 0
+
+
+def test_entry_has_a_row_per_group_and_the_total(spark):
+    frame = contract.entry(spark)
+    assert frame.columns[0] == "group" and len(frame.columns) == 13
+    assert "all" in {r["group"] for r in frame.collect()}
