@@ -19,7 +19,8 @@ TOTAL = "all"
 def group_moments(df: DataFrame, group: str, metrics: Sequence[str], grand_total: bool = True) -> DataFrame:
     """``is_total, grp, metric, n, mean, std``; the deviation of a single value is null."""
     moments = {"n": F.count, "mean": F.avg, "std": F.stddev_samp}
-    long = aggregate_long(df.withColumnRenamed(group, "grp"), ["grp"], metrics, moments, 6, grand_total)
+    named = df.select(F.col(group).alias("grp"), *metrics)
+    long = aggregate_long(named, ["grp"], metrics, moments, 6, grand_total)
     return long if grand_total else long.withColumn("is_total", F.lit(False))
 
 

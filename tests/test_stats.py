@@ -76,6 +76,12 @@ def test_median_where_ranges_are_not_broadcast(spark, no_broadcast):
         assert found[(False, g, "v")] == pytest.approx(statistics.median(v for k, v in rows if k == g), rel=1e-15)
 
 
+def test_other_columns_may_have_any_name(spark):
+    frame = spark.createDataFrame([("a", 1.0, "x", "y"), ("a", 2.0, "x", "y")], "g string, v double, grp string, metric string")
+    row = group_stats_long(frame, "g", ["v"]).where("is_total").first()
+    assert (row["median"], row["mean"]) == (1.5, 1.5)
+
+
 def test_nan_is_missing(spark):
     frame = spark.createDataFrame([("a", 1.0), ("a", math.nan), ("a", 3.0)], "g string, v double")
     row = group_stats_long(frame, "g", ["v"]).where("not is_total").first()
