@@ -7,10 +7,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from statlab.plans.table_queries import QUERIES
+from statlab.plans.table_sql import SQL
 
 FOLDER = os.environ.get("STATLAB_TEST_SF", "/root/testdata/sf0.01")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings labels".split()
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
 WITHOUT_SQL = {"kmeans_k4", "elbow", "pca_2d", "value_model"}
 
 
@@ -36,6 +37,7 @@ def rows(columns, data):
 def test_every_query_is_covered():
     assert set(QUERIES) - set(SQL) == WITHOUT_SQL
     assert not set(SQL) - set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
