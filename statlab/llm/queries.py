@@ -5,9 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from statlab.llm.common import table
+from statlab.llm.cover_tree import embedding_near_dedup
 from statlab.llm.histogram_sort import sharding
 from statlab.llm.merkle import document_fingerprints
 from statlab.llm.mixing import source_mixing
+from statlab.llm.ngram_join import ngram_jaccard
+
+
+def op1_embedding_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return embedding_near_dedup(table(spark, sf, "embeddings"))
 
 
 def op2_sharding(spark: SparkSession, sf: str) -> DataFrame:
@@ -22,4 +28,12 @@ def op4_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return source_mixing(table(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op3_document_fingerprints, op4_source_mixing)}
+def op10_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_jaccard(table(spark, sf, "documents"))
+
+
+QUERIES = {
+    f.__name__: f for f in (
+        op1_embedding_near_dedup, op2_sharding, op3_document_fingerprints, op4_source_mixing, op10_ngram_jaccard,
+    )
+}
