@@ -24,6 +24,8 @@ from statlab.session import stage
 PLACES, LONGEST, LEARNED, LANDMARKS = 1 << 14, 4, 600, 24
 RIDGE = 1e-4
 UNKNOWN = "und"
+#: Texts that no language's classifier gives this score are in none of the learned languages.
+ACCEPTED = 0.25
 
 
 def presence(column) -> np.ndarray:
@@ -140,7 +142,7 @@ def language_id(docs: DataFrame) -> DataFrame:
 
 
 def keep_languages(docs: DataFrame) -> DataFrame:
-    """Documents that some language's classifier accepts (a score of at least a half); the columns are kept."""
+    """Documents in a learned language: those without a letter, or far from all of them, go. The columns are kept."""
     model = fit_languages(docs)
     kept = predict_languages(docs.select(*[F.col(f"`{c}`").alias(f"_{c}") for c in docs.columns], "text"), model)
-    return kept.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= 0.5)).select(*[F.col(f"`_{c}`").alias(c) for c in docs.columns])
+    return kept.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= ACCEPTED)).select(*[F.col(f"`_{c}`").alias(c) for c in docs.columns])

@@ -9,6 +9,7 @@ from statlab.llm.common import table
 from statlab.llm.cover_tree import embedding_near_dedup
 from statlab.llm.histogram_sort import sharding
 from statlab.llm.langid import language_id
+from statlab.llm.line_dedup import line_dedup
 from statlab.llm.merkle import document_fingerprints
 from statlab.llm.mixing import source_mixing
 from statlab.llm.ngram_join import ngram_jaccard
@@ -39,6 +40,10 @@ def op7_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return line_dedup(table(spark, sf, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
@@ -50,6 +55,6 @@ def op10_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f for f in (
         op1_embedding_near_dedup, op2_sharding, op3_document_fingerprints, op4_source_mixing, op5_language_id,
-        op7_bpe_round_trip, op9_quality, op10_ngram_jaccard,
+        op7_bpe_round_trip, op8_line_dedup, op9_quality, op10_ngram_jaccard,
     )
 }
