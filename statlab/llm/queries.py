@@ -13,6 +13,7 @@ from statlab.llm.line_dedup import line_dedup
 from statlab.llm.merkle import document_fingerprints
 from statlab.llm.mixing import source_mixing
 from statlab.llm.ngram_join import ngram_jaccard
+from statlab.llm.pii import pii_surrogates
 from statlab.llm.quality import quality
 
 
@@ -36,6 +37,10 @@ def op5_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language_id(table(spark, sf, "documents"))
 
 
+def op6_pii_surrogates(spark: SparkSession, sf: str) -> DataFrame:
+    return pii_surrogates(table(spark, sf, "documents"))
+
+
 def op7_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf, "documents"))
 
@@ -55,6 +60,6 @@ def op10_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f for f in (
         op1_embedding_near_dedup, op2_sharding, op3_document_fingerprints, op4_source_mixing, op5_language_id,
-        op7_bpe_round_trip, op8_line_dedup, op9_quality, op10_ngram_jaccard,
+        op6_pii_surrogates, op7_bpe_round_trip, op8_line_dedup, op9_quality, op10_ngram_jaccard,
     )
 }
