@@ -30,7 +30,8 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows of the mix: a document stands in it as often as the mix takes it, up to three times or not at all."""
-    return take(mix(docs)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")
+    return take(mix(docs.select("doc_id", "source", "text", whole))).select("document.*")
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

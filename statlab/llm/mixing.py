@@ -128,12 +128,12 @@ def mix(docs: DataFrame, shards: int = 8, seed: int = 17) -> DataFrame:
 
 
 def take(mixed: DataFrame, seed: int = 17) -> DataFrame:
-    """The mixed rows themselves, a row per copy with its ``shard``, each shard in a random order of its own.
+    """The mixed rows themselves, a row per copy with its ``shard`` and ``copy``, each shard in a random order of its own.
 
-    A shard is shuffled by ranges of the random order, so that no shard is one task's.
+    A shard is shuffled by ranges of the random order, so that no shard is one task's. Columns of these names are replaced.
     """
     rows = mixed.select(
-        *[F.col(f"`{c}`") for c in mixed.columns if c != "shards"], F.posexplode("shards").alias("copy", "shard"))
+        *[F.col(f"`{c}`") for c in mixed.columns if c not in ("shards", "shard", "copy", "_order")], F.posexplode("shards").alias("copy", "shard"))
     order = F.xxhash64(F.lit(seed), "doc_id", "text", "copy")
     return rows.withColumn("_order", order).repartitionByRange("shard", "_order").sortWithinPartitions("shard", "_order").drop("_order")
 
