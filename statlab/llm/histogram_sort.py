@@ -43,7 +43,7 @@ def _edges(bins: dict[int, tuple[int, int]], shards: int) -> tuple[list[int], li
 
 
 def histogram_sort(
-    docs: DataFrame, shards: int = 8, tolerance: float = 0.002, text: str = "text", key: str = "doc_id"
+    docs: DataFrame, shards: int = 8, tolerance: float = 0.01, text: str = "text", key: str = "doc_id"
 ) -> DataFrame:
     """Adds ``size``, ``shard`` and ``slot`` (gapless from 0): shards of nearly equal bytes, in one global order.
 
