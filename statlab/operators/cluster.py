@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statlab.operators.impute import median_impute
-from statlab.session import side_by_side
+from statlab.session import side_by_side, stage
 
-MAX_CENTROIDS = 10_000
+#: Numbers of the centroids that are at the driver and in a task's function at a time.
+HELD = 1_000_000
 
 
 def scaled_features(df: DataFrame, features: Sequence[str] | str, output: str = "features") -> DataFrame:
@@ -38,10 +39,21 @@ def imputed_features(df: DataFrame, features: Sequence[str], output: str = "feat
     return scaled_features(median_impute(df, features), features, output)
 
 
+def _settled(df: DataFrame, ident: str | None, parts: int) -> DataFrame:
+    """Each row in a partition, and at a place in it, that depend on its id alone: fits draw by partition."""
+    return df.repartition(parts, ident).sortWithinPartitions(ident) if ident else df
+
+
 def kmeans_labels(
-    df: DataFrame, k: int = 4, seed: int = 42, max_iter: int = 20, features: str = "features"
+    df: DataFrame, k: int = 4, seed: int = 42, max_iter: int = 20, features: str = "features",
+    ident: str | None = None, parts: int = 8,
 ) -> DataFrame:
-    """Adds ``cluster`` 0..k-1, numbered by size and then by the centre's coordinates."""
+    """Adds ``cluster`` 0..k-1, numbered by size and then by the centre's coordinates.
+
+    With ``ident``, a column that tells rows apart, the labels do not depend on the partitioning of the input;
+    ``parts`` is then the number of partitions of the fit, and has to grow with the table.
+    """
+    df = _settled(df, ident, parts)
     model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=features, predictionCol="_label").fit(df)
     centres = [tuple(c) for c in model.clusterCenters()]
     order = sorted(range(len(centres)), key=lambda i: (model.summary.clusterSizes[i], centres[i]))
@@ -64,10 +76,12 @@ def elbow(
     max_iter: int = 20,
     features: str = "features",
     threads: int = 4,
+    ident: str | None = None,
+    parts: int = 8,
 ) -> DataFrame:
-    """``k, inertia, drop`` for each K; the vectors are kept once for all fits."""
+    """``k, inertia, drop`` for each K; the vectors are kept once for all fits. ``ident`` as in ``kmeans_labels``."""
     ks = list(ks)
-    vectors = df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = _settled(df, ident, parts).select(features).persist(StorageLevel.MEMORY_AND_DISK)
 
     def cost(k: int) -> float:
         if k == 1:
@@ -103,20 +117,9 @@ def group_centroids(df: DataFrame, group: str, array: str) -> DataFrame:
     return df.groupBy(group).agg(vector_to_array(Summarizer.mean(vector)).alias("centroid"))
 
 
-def nearest_centroid(df: DataFrame, array: str, centroids: DataFrame, label: str) -> DataFrame:
-    """Adds ``nearest`` and ``distance`` to the closest centroid, the smaller label on a tie.
-
-    The centroids go to the tasks with the function that measures a batch of rows, so their number
-    is checked: with more than ``MAX_CENTROIDS`` it is refused.
-    """
-    known = centroids.select(label, "centroid").orderBy(label).limit(MAX_CENTROIDS + 1).collect()
-    if len(known) > MAX_CENTROIDS:
-        raise ValueError("too many centroids")
-    labels = [r[0] for r in known]
-    centres = np.array([r[1] for r in known], dtype=float)
-    result = T.StructType([
-        T.StructField("nearest", centroids.schema[label].dataType), T.StructField("distance", T.DoubleType()),
-    ])
+def _closest(labels: list, centres: np.ndarray, result: T.StructType):
+    """Label and distance of the nearest of some centroids; the smaller label on a tie."""
+    squares = (centres**2).sum(axis=1)
 
     @F.arrow_udf(result)
     def closest(points: pa.Array) -> pa.Array:
@@ -125,11 +128,17 @@ def nearest_centroid(df: DataFrame, array: str, centroids: DataFrame, label: str
         if pc.any(pc.not_equal(lengths, centres.shape[1])).as_py():
             raise ValueError("a point has another number of dimensions than the centroids")
         x = points.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, centres.shape[1])
+        norms = (x**2).sum(axis=1)
+        rough = norms[:, None] + squares[None] - 2.0 * (x @ centres.T)
+        # The product loses digits, so all centroids that may be nearest within its error are measured again.
+        error = 1e-9 * (norms[:, None] + squares[None]) + 1e-30
+        near = rough - error <= (rough + error).min(axis=1, initial=np.inf)[:, None]
+        row, centre = np.nonzero(near)
+        exact = ((x[row] - centres[centre]) ** 2).sum(axis=1)
+        order = np.lexsort((centre, exact, row))
+        first = order[np.flatnonzero(np.diff(row[order], prepend=-1))]
         squared, place = np.full(len(x), np.inf), np.full(len(x), -1)
-        for i, centre in enumerate(centres):
-            here = ((x - centre) ** 2).sum(axis=1)
-            nearer = here < squared
-            squared[nearer], place[nearer] = here[nearer], i
+        squared[row[first]], place[row[first]] = exact[first], centre[first]
         at, far = np.full(len(points), -1), np.full(len(points), np.inf)
         at[there], far[there] = place, np.sqrt(squared)
         index = pa.array(at, mask=at < 0)
@@ -137,5 +146,34 @@ def nearest_centroid(df: DataFrame, array: str, centroids: DataFrame, label: str
             [pa.array(labels).take(index), pa.array(far, mask=at < 0)], names=["nearest", "distance"]
         )
 
-    found = df.withColumn("_found", closest(F.col(array)))
+    return closest
+
+
+def nearest_centroid(df: DataFrame, array: str, centroids: DataFrame, label: str) -> DataFrame:
+    """Adds ``nearest`` and ``distance`` to the closest centroid, the smaller label on a tie.
+
+    The centroids go to the tasks in blocks of a bounded count of numbers, in order of their labels; each block is
+    one pass, and the nearest so far is kept with the row. A null label is left out.
+    """
+    known = stage(centroids.select(label, "centroid").where(F.col(label).isNotNull()), "centroids")
+    widest = known.agg(F.max(F.size("centroid"))).first()[0] or 1
+    size = max(1, HELD // widest)
+    result = T.StructType([
+        T.StructField("nearest", centroids.schema[label].dataType), T.StructField("distance", T.DoubleType()),
+    ])
+    found, block = df, known.orderBy(label).limit(size).collect()
+    nothing = F.lit(None).cast(result)
+    best = None
+    while block:
+        labels, centres = [r[0] for r in block], np.array([r[1] for r in block], dtype=float)
+        here = _closest(labels, centres, result)(F.col(array))
+        found = found.withColumn("_found" if best is None else "_next", here)
+        if best is not None:
+            nearer = F.coalesce(F.col("_next.distance") < F.col("_found.distance"), F.lit(False))
+            found = found.withColumn("_found", F.when(nearer, F.col("_next")).otherwise(F.col("_found"))).drop("_next")
+        best = labels[-1]
+        block = known.where(F.col(label) > best).orderBy(label).limit(size).collect() if len(block) == size else []
+        if block:
+            found = stage(found, "nearest")
+    found = found if best is not None else found.withColumn("_found", nothing)
     return found.withColumns({"nearest": F.col("_found.nearest"), "distance": F.col("_found.distance")}).drop("_found")
