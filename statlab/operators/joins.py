@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 from statlab.functions.clean import fold_name
 from statlab.session import side_by_side, stage
 
-MAX_ALIASES = 10_000
-BROADCAST_KEYS = 500_000
 
 
 def inner_match(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -34,20 +32,19 @@ def one_to_many(left: DataFrame, right: DataFrame, key: str, latest_by: Sequence
 
 
 def alias_table(spark: SparkSession, aliases: dict[str, str]) -> DataFrame:
-    """``alias, full_name`` from a written list, whose length is checked."""
-    if len(aliases) > MAX_ALIASES:
-        raise ValueError(f"more than {MAX_ALIASES} aliases; pass them as a table and join it")
+    """``alias, full_name`` from a written list."""
     return spark.createDataFrame(list(aliases.items()), "alias string, full_name string")
 
 
-def resolve_alias(df: DataFrame, name: str, aliases: dict[str, str], resolved: str) -> DataFrame:
-    """``resolved`` holds the full name for a known alias and the name itself otherwise."""
-    table = F.broadcast(alias_table(df.sparkSession, aliases))
-    return (
-        df.join(table, df[name] == table["alias"], "left")
-        .withColumn(resolved, F.coalesce("full_name", name))
-        .drop("alias", "full_name")
-    )
+def resolve_alias(df: DataFrame, name: str, aliases: dict[str, str] | DataFrame, resolved: str) -> DataFrame:
+    """``resolved`` holds the full name for a known alias and the name itself otherwise.
+
+    A long list of aliases is passed as a table ``alias, full_name`` with one row per alias; the planner chooses the join.
+    """
+    known = aliases if isinstance(aliases, DataFrame) else alias_table(df.sparkSession, aliases)
+    known = known.select(F.col("alias").alias("_alias"), F.col("full_name").alias("_full_name"))
+    joined = df.join(known, F.col(name) == F.col("_alias"), "left")
+    return joined.withColumn(resolved, F.coalesce("_full_name", name)).drop("_alias", "_full_name")
 
 
 def contradicting(df: DataFrame, left: str, right: str) -> DataFrame:
@@ -75,15 +72,6 @@ def _with_keys(names: DataFrame, max_distance: int) -> DataFrame:
     )
 
 
-def _count_keys(names: DataFrame, max_distance: int) -> float:
-    """At most this many keys: the ways to leave out up to ``max_distance`` letters of each name."""
-    ways = total = F.lit(1.0)
-    for d in range(1, max_distance + 1):
-        ways = ways * F.greatest(F.length("folded") - (d - 1), F.lit(0)) / d
-        total = total + ways
-    return names.agg(F.sum(total)).first()[0] or 0
-
-
 def similar_names(
     left: DataFrame, right: DataFrame, max_distance: int, best_only: bool = True
 ) -> DataFrame:
@@ -91,23 +79,58 @@ def similar_names(
 
     Two texts that close always share a text reached by that many deletions from each, so the
     pairs come from an equi-join on those texts. Names of a block are never paired with each other
-    wholesale, and no partner is left out.
+    wholesale, and no partner is left out. The keys are written first, so the planner knows how
+    many there are; a pair that meets under several keys is measured once.
     """
-    keys = _with_keys(left, max_distance)
-    other = _with_keys(right, max_distance).withColumnsRenamed({"folded": "match", "block": "right_block"})
-    # A name has many keys, which the planner does not foresee; so count them before choosing the join.
-    if _count_keys(right, max_distance) <= BROADCAST_KEYS:
-        other = F.broadcast(other)
-    elif _count_keys(left, max_distance) <= BROADCAST_KEYS:
-        keys = F.broadcast(keys)
-    else:
-        other = other.hint("merge")
-    pairs = keys.join(other, "key").where(F.col("block") == F.col("right_block"))
+    keys = stage(_with_keys(left, max_distance), "keys-left")
+    other = stage(_with_keys(right, max_distance).withColumnsRenamed({"folded": "match", "block": "right_block"}), "keys-right")
+    pairs = keys.join(other, "key").where(F.col("block") == F.col("right_block")).select("block", "folded", "match").distinct()
     near = pairs.withColumn("distance", F.levenshtein("folded", "match", max_distance)).where("distance >= 0")
     if best_only:
         best = near.groupBy("block", "folded").agg(F.min(F.struct("distance", "match")).alias("best"))
         return best.select("block", "folded", "best.match", "best.distance")
-    return near.select("block", "folded", "match", "distance").distinct()
+    return near
+
+
+def _closest_names(names: DataFrame, known: DataFrame, max_distance: int) -> DataFrame:
+    """The closest name of each: within one edit first, and only what is left over within two, three and so on."""
+    found = None
+    for limit in range(1, max_distance + 1):
+        step = stage(similar_names(names, known, limit), f"within-{limit}")
+        found = step if found is None else found.unionByName(step)
+        if limit < max_distance:
+            names = stage(names.join(step, ["block", "folded"], "left_anti"), "names-left-over")
+            if not names.head(1):
+                break
+    return found
+
+
+def names_sharing_words(names: DataFrame, known: DataFrame) -> DataFrame:
+    """``block, folded, match, distance`` where all words of the shorter name stand in the longer.
+
+    A pair meets at the rarest word of the name whose words are all shared, so frequent words make no pairs.
+    The match with the fewest further words wins, the first by name on a tie; these words are the distance.
+    """
+    def words(df: DataFrame, name: str, side: str) -> DataFrame:
+        split = F.array_distinct(F.filter(F.split(name, " "), lambda w: w != ""))
+        return df.select(F.col("block").alias(f"{side}_block"), F.col(name).alias(side), split.alias(f"{side}_words"))
+
+    def meeting(small: DataFrame, s: str, large: DataFrame, l: str) -> DataFrame:
+        placed = large.select(F.col(f"{l}_block").alias("_block"), F.explode(f"{l}_words").alias("_word"), l, f"{l}_words")
+        counts = stage(placed.groupBy("_block", "_word").agg(F.count("*").alias("_n")), "words")
+        asked = small.select("*", F.explode(f"{s}_words").alias("_word"))
+        rarest = asked.withColumn("_block", F.col(f"{s}_block")).join(counts, ["_block", "_word"])
+        rarest = rarest.groupBy(f"{s}_block", s, f"{s}_words").agg(F.min(F.struct("_n", "_word")).alias("_rarest"))
+        rarest = rarest.select(s, f"{s}_words", F.col(f"{s}_block").alias("_block"), F.col("_rarest._word").alias("_word"))
+        met = stage(rarest, "rarest").join(stage(placed, "placed"), ["_block", "_word"])
+        return met.where(F.size(F.array_except(f"{s}_words", f"{l}_words")) == 0).select(
+            F.col("_block").alias("block"), F.col("a").alias("folded"), F.col("b").alias("match"),
+            (F.size(f"{l}_words") - F.size(f"{s}_words")).alias("distance"))
+
+    left, right = words(names, "folded", "a"), words(known, "folded", "b")
+    both = meeting(left, "a", right, "b").unionByName(meeting(right, "b", left, "a"))
+    best = both.groupBy("block", "folded").agg(F.min(F.struct("distance", "match")).alias("best"))
+    return best.select("block", "folded", "best.match", "best.distance")
 
 
 def approx_name_join(
@@ -116,14 +139,16 @@ def approx_name_join(
     left_name: str,
     right_name: str,
     right_id: str,
-    block: tuple[str, str] | None = None,
+    block: tuple[str, str] | None,
     max_distance: int = 2,
     how: str = "inner",
+    shared_words: bool = False,
 ) -> DataFrame:
     """Each left row with the right row of the closest name: ``match_name, match_id, distance``.
 
-    ``block`` names a column on each side that has to agree, such as the team; without it a name
-    may be matched across teams. Equal distances go to the first name, and among right rows of the
+    ``block`` names a column on each side that has to agree, such as the team; with None a name
+    may be matched across teams. ``shared_words`` also matches what is then left over, by names that
+    hold all words of the other (``names_sharing_words``). Equal distances go to the first name, and among right rows of the
     same name to the first id. Only distinct names are compared, however many rows carry one; they
     are written once for both sides, and equal ones are taken first by a plain join.
     """
@@ -149,7 +174,11 @@ def approx_name_join(
     best = equal
     if max_distance > 0:
         rest = names.join(known, ["block", "folded"], "left_anti")
-        best = equal.unionByName(similar_names(rest, known, max_distance))
+        best = equal.unionByName(_closest_names(stage(rest, "names-rest"), known, max_distance))
+    if shared_words:
+        best = stage(best, "names-best")
+        over = names.join(best, ["block", "folded"], "left_anti")
+        best = best.unionByName(names_sharing_words(stage(over, "names-over"), known))
     found = stage(
         best.join(targets, ["block", "match"]).select("block", "folded", "match_name", "match_id", "distance"),
         "names-found",

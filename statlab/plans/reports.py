@@ -14,8 +14,8 @@ from statlab.session import stage
 
 # The wording and rules of the three reports.
 METRIC_HEADER = "Chỉ số: %s"
-HIGHEST = "  Top 3 cầu thủ cao nhất:"
-LOWEST = "  Top 3 cầu thủ thấp nhất:"
+HIGHEST = "  Top %d cầu thủ cao nhất:"
+LOWEST = "  Top %d cầu thủ thấp nhất:"
 ENTRY = "    - %s (Chỉ số: %s)"
 BLOCK_RULE = "-" * 40
 LEADER_TITLE = "Phân tích đội có điểm số cao nhất cho từng chỉ số tích cực - %s"
@@ -66,7 +66,7 @@ def extremes_report(
     labels = labels or {}
     frame = []
     for i, m in enumerate(metrics, 1):
-        frame += [(i, 1, METRIC_HEADER % labels.get(m, m)), (i, 2, HIGHEST), (i, k + 3, LOWEST),
+        frame += [(i, 1, METRIC_HEADER % labels.get(m, m)), (i, 2, HIGHEST % k), (i, k + 3, LOWEST % k),
                   (i, 2 * k + 4, BLOCK_RULE)]
     entries = found.select(
         _position(metrics).alias("block"),

@@ -14,7 +14,7 @@ from statlab.operators import cluster, profile
 from statlab.operators.impute import median_impute
 from statlab.operators.joins import approx_name_join, contradicting, resolve_alias
 from statlab.operators.leaders import metric_leaders
-from statlab.operators.rank import extremes
+from statlab.operators.rank import extremes, first_per_group
 from statlab.operators.regress import estimate_by_category
 from statlab.operators.stats import PREFIX, STATS, group_stats_wide
 from statlab.plans import reports
@@ -22,11 +22,14 @@ from statlab.session import stage
 
 
 def prepare_players(raw: DataFrame, min_minutes: float = 90) -> DataFrame:
-    """Snake-case columns, age in years, and only players with more than ``min_minutes``."""
+    """Snake-case columns, age in years, and only players with more than ``min_minutes``.
+
+    Written once, so that every analysis reads the columns it needs and not the source text again.
+    """
     players = rename_headers(raw)
     if isinstance(players.schema["age"].dataType, T.StringType):
         players = players.withColumn("age", age_years(F.col("age")))
-    return players.where(F.col("minutes") > min_minutes)
+    return stage(players.where(F.col("minutes") > min_minutes), "players")
 
 
 def team_statistics(players: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:
@@ -86,14 +89,16 @@ def clusters_report(labelled: DataFrame, k: int = 4) -> DataFrame:
 def player_transfers(
     players: DataFrame,
     transfers: DataFrame,
-    aliases: dict[str, str],
+    aliases: dict[str, str] | DataFrame,
     min_minutes: float = 900,
     max_distance: int = 3,
 ) -> DataFrame:
     """Transfers with parsed fee and route, kept for players above ``min_minutes`` of a similar name.
 
-    A player with two transfers has two rows. ``contradicts`` marks a transfer whose destination is
-    not the team of the player it was matched to.
+    A player with two transfers has two rows, and a transfer has one: of several players of one name it
+    goes to the one in its destination, else to the first team by name. ``contradicts`` marks a transfer
+    whose destination is not the team of the player it was matched to. A transfer need not agree with the
+    team, since contradictions are what is looked for.
     """
     regulars = players.where(F.col("minutes") > min_minutes).select(
         F.col("player").alias("known_player"), F.col("team").alias("known_team"),
@@ -106,17 +111,16 @@ def player_transfers(
         fee_kind(F.col("Transfer Fee")).alias("fee_kind"),
         route(F.col("Transfer Type")).alias("r"),
     ).select("player", "fee", "transfer", "fee_m", "fee_kind", "r.from_club", "r.to_club")
-    resolved = resolve_alias(parsed, "to_club", aliases, "to_team")
-    matched = approx_name_join(resolved, regulars, "player", "known_player", "known_player", None, max_distance)
-    return (
-        matched.withColumnRenamed("player", "source_name")
-        .join(regulars, F.col("match_id") == F.col("known_player"))
-        .select(
-            F.col("known_player").alias("player"), F.col("known_team").alias("team"),
-            F.col("known_minutes").alias("minutes"), "fee", "transfer",
-            "fee_m", "fee_kind", "from_club", "to_club", "to_team",
-            "source_name", "distance", (F.col("to_team") != F.col("known_team")).alias("contradicts"),
-        )
+    numbered = stage(resolve_alias(parsed, "to_club", aliases, "to_team").withColumn("_row", F.monotonically_increasing_id()), "transfers")
+    matched = approx_name_join(numbered, regulars, "player", "known_player", "known_player", None, max_distance)
+    namesakes = matched.withColumnRenamed("player", "source_name").join(regulars, F.col("match_id") == F.col("known_player"))
+    stays = F.coalesce(F.col("known_team") == F.col("to_team"), F.lit(False))
+    chosen = first_per_group(namesakes, ["_row"], [F.desc(stays), F.asc("known_team"), F.desc("known_minutes")], 1)
+    return chosen.select(
+        F.col("known_player").alias("player"), F.col("known_team").alias("team"),
+        F.col("known_minutes").alias("minutes"), "fee", "transfer",
+        "fee_m", "fee_kind", "from_club", "to_club", "to_team",
+        "source_name", "distance", (F.col("to_team") != F.col("known_team")).alias("contradicts"),
     )
 
 
