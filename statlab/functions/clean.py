@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 
 from pyspark.sql import Column
@@ -14,19 +15,23 @@ MISSING = "N/A"
 
 
 def _accented() -> dict[str, str]:
-    """Every single letter whose canonical decomposition is one letter and its marks."""
+    """Every single letter that decomposes into one other letter and its marks; wide and styled forms as well."""
     found = dict(PLAIN)
-    for code in range(0xC0, 0x2000):
+    for code in range(0xC0, sys.maxunicode + 1):
         letter = chr(code)
-        parts = [c for c in unicodedata.normalize("NFD", letter) if not unicodedata.combining(c)]
-        if unicodedata.category(letter).startswith("L") and len(parts) == 1 and parts[0] != letter:
+        if not unicodedata.decomposition(letter) or not unicodedata.category(letter).startswith("L"):
+            continue
+        parts = [c for c in unicodedata.normalize("NFKD", letter) if not unicodedata.combining(c)]
+        if len(parts) == 1 and parts[0] != letter and not unicodedata.category(letter).startswith("Lm"):
             found[letter] = parts[0]
     return found
 
 
 _ACCENTED = _accented()
 # Marks left alone after a decomposed letter are dropped: translate removes what has no replacement.
-_MARKS = "".join(chr(c) for c in range(0x300, 0x370) if unicodedata.combining(chr(c)))
+# The blocks of marks that are accents in every script.
+_MARK_BLOCKS = [(0x300, 0x370), (0x1AB0, 0x1B00), (0x1DC0, 0x1E00), (0x20D0, 0x2100), (0xFE20, 0xFE30)]
+_MARKS = "".join(chr(c) for a, b in _MARK_BLOCKS for c in range(a, b) if unicodedata.combining(chr(c)))
 
 
 def strip_accents(text: Column) -> Column:
@@ -47,7 +52,7 @@ def age_years(age: Column, days_per_year: float = 365.0) -> Column:
 
 def fee_millions(fee: Column) -> Column:
     """``'€21.4M'`` as 21.4 and ``'Free'`` as 0; anything else is null."""
-    number = F.regexp_extract(fee, r"^€([0-9]+(?:\.[0-9]+)?)M$", 1).try_cast("double")
+    number = F.regexp_extract(F.trim(fee), r"^€([0-9]+(?:\.[0-9]+)?)M$", 1).try_cast("double")
     return F.when(F.trim(fee) == "Free", F.lit(0.0)).otherwise(number)
 
 

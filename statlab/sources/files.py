@@ -11,15 +11,30 @@ from pyspark.sql import types as T
 from statlab.functions.clean import MISSING
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False) -> DataFrame:
-    """UTF-8 CSV with a header; ``N/A`` is null and a byte-order mark is skipped.
+BAD = "_bad"
 
-    Plain files are split between tasks. A file with line breaks inside quotes (``multiline``)
-    cannot be, so such a source should come as many files.
+
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False, keep_bad: bool = False
+) -> DataFrame:
+    """UTF-8 CSV with a header, columns by name; ``N/A`` is null and a byte-order mark is skipped.
+
+    The columns of ``schema`` may stand in any order among others; a missing one is an error, and so are files whose
+    headers differ. A row with a cell that does not fit its type is an error as well, or with ``keep_bad`` a row of
+    what fits whose text is in the column ``_bad``. Plain files are split between tasks. A file with line breaks
+    inside quotes (``multiline``) cannot be, so such a source should come as many files.
     """
-    return spark.read.schema(schema).csv(
-        path, header=True, nullValue=MISSING, multiLine=multiline, escape='"', enforceSchema=True
-    )
+    options = dict(header=True, nullValue=MISSING, multiLine=multiline, escape='"')
+    header = [c.lstrip("\ufeff") for c in spark.read.csv(path, **options).columns]
+    missing = [c for c in schema.names if c not in header]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} in {path}")
+    fields = [schema[c] if c in schema.names else T.StructField(c, T.StringType()) for c in header]
+    marked = [T.StructField(BAD, T.StringType())] if keep_bad else []
+    reader = spark.read.schema(T.StructType([*fields, *marked]))
+    mode = dict(mode="PERMISSIVE", columnNameOfCorruptRecord=BAD) if keep_bad else dict(mode="FAILFAST")
+    found = reader.csv(path, enforceSchema=False, **options, **mode)
+    return found.select(*[F.col(f"`{c}`") for c in [*schema.names, *(f.name for f in marked)]])
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None, mode: str = "errorifexists") -> None:

@@ -1,5 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statlab import catalog, session
 from statlab.functions import clean
@@ -61,6 +62,29 @@ def test_csv_with_mark_and_line_break(spark, tmp_path):
     assert rows[0]["Transfer Type"] == "E. Club\nMan T" and rows[1]["Minutes"] is None
 
 
+def test_csv_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "n.csv").write_text('\ufeffb,extra,a\n1,x,one\nN/A,y,two\n', encoding="utf-8")
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.IntegerType())])
+    assert sorted(map(tuple, files.read_csv(spark, str(tmp_path / "n.csv"), schema).collect())) == [("one", 1), ("two", None)]
+    with pytest.raises(ValueError, match="no column c"):
+        files.read_csv(spark, str(tmp_path / "n.csv"), T.StructType([T.StructField("c", T.StringType())]))
+
+
+def test_bad_cells_are_reported(spark, tmp_path):
+    (tmp_path / "b.csv").write_text("a,b\n1,2\noops,3\n")
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())])
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_csv(spark, str(tmp_path / "b.csv"), schema).collect()
+    rows = files.read_csv(spark, str(tmp_path / "b.csv"), schema, keep_bad=True).collect()
+    assert [(r["a"], r["b"], r["_bad"]) for r in rows] == [(1, 2, None), (None, 3, "oops,3")]
+
+
+def test_wide_letters_and_signs_are_folded(spark):
+    row = spark.createDataFrame([("\u212b\uff41\u0301 \u1e9b", "  €3M ")], "t string, fee string")
+    assert row.select(clean.fold_name(F.col("t"))).first()[0] == "aa s"
+    assert row.select(clean.fee_millions(F.col("fee"))).first()[0] == 3.0
+
+
 def test_csv_null_marker_and_quotes(spark, tmp_path):
     frame = spark.createDataFrame([("a", None, 'say "x", y'), ("b", 2.5, None)], "k string, v double, s string")
     path = str(tmp_path / "out")
