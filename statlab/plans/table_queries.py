@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,6 +71,12 @@ def stats_of_events(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(long, 5, "median", "mean", "std")
 
 
+def wide_group_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """The shape of a season: 64 metrics with three statistics each."""
+    wide = stats.group_stats_wide(_dimensions(spark, sf), "label", DIMENSIONS).drop("is_total")
+    return rounded(wide, 6, *[c for c in wide.columns if c != "group"])
+
+
 # --- ranking
 
 
@@ -87,6 +94,10 @@ def extremes_of_lines(spark: SparkSession, sf: str) -> DataFrame:
     return rank.extremes(keyed, "line", LINE_METRICS)
 
 
+def wide_extremes(spark: SparkSession, sf: str) -> DataFrame:
+    return rank.extremes(_dimensions(spark, sf), "vec_id", DIMENSIONS)
+
+
 def first5_per_group(spark: SparkSession, sf: str) -> DataFrame:
     return profile.examples(table(spark, sf, "supplier"), "s_nationkey", "s_name", ["s_acctbal"])
 
@@ -106,6 +117,10 @@ def leader_per_metric_mean(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(_line_leaders(spark, sf, "mean"), 6, "total")
 
 
+def wide_leaders(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(leaders.metric_leaders(_dimensions(spark, sf), "label", DIMENSIONS), 5, "total")
+
+
 def leader_counts(spark: SparkSession, sf: str) -> DataFrame:
     return leaders.lead_counts(_line_leaders(spark, sf, "sum"), "l_suppkey", LINE_METRICS)
 
@@ -198,7 +213,7 @@ def edit_distance(spark: SparkSession, sf: str) -> DataFrame:
 
 def _misspelt(name: Column) -> Column:
     """One letter lost, and now and then one exchanged for an accented one."""
-    lost = F.concat(name.substr(1, 2), F.substring(name, 4, 100))
+    lost = F.concat(name.substr(1, 2), F.substr(name, F.lit(4)))
     return F.when(F.col("p_partkey") % 3 == 0, F.upper(name)).when(
         F.col("p_partkey") % 3 == 1, lost
     ).otherwise(F.translate(lost, "e", "é"))
@@ -222,6 +237,33 @@ def approx_name_join_loose(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _full_name() -> Column:
+    return F.concat_ws(" ", "p_name", F.substring(F.md5(F.col("p_partkey").cast("string")), 1, 8))
+
+
+def approx_name_join_many(spark: SparkSession, sf: str) -> DataFrame:
+    """A name of its own for every part, a letter lost in it."""
+    part = table(spark, sf, "part")
+    name = _full_name()
+    left = part.select("p_partkey", "p_brand", F.concat(name.substr(1, 4), F.substr(name, F.lit(6))).alias("name"))
+    right = part.select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("brand"), name.alias("full_name"))
+    return joins.approx_name_join(left, right, "name", "full_name", "id", ("p_brand", "brand"), 2, "left").select(
+        "p_partkey", "name", "match_name", "match_id", "distance"
+    )
+
+
+def approx_name_join_words(spark: SparkSession, sf: str) -> DataFrame:
+    """A longer official name against a shorter one; every third name has the words in another order."""
+    part = table(spark, sf, "part")
+    code = F.substring(F.md5(F.col("p_partkey").cast("string")), 1, 8)
+    short = F.when(F.col("p_partkey") % 3 == 0, F.concat_ws(" ", code, "p_name")).otherwise(F.concat_ws(" ", "p_name", code))
+    left = part.select("p_partkey", short.alias("name"))
+    right = part.select(F.col("p_partkey").alias("id"), F.concat_ws(" ", F.lower("p_type"), "p_name", F.lower("p_brand"), code).alias("full_name"))
+    return joins.approx_name_join(left, right, "name", "full_name", "id", None, 1, "left", shared_words=True).select(
+        "p_partkey", "name", "match_name", "match_id", "distance"
+    )
+
+
 def inner_match(spark: SparkSession, sf: str) -> DataFrame:
     customers = table(spark, sf, "customer").where(F.col("c_acctbal") > 0)
     orders = table(spark, sf, "orders").withColumnRenamed("o_custkey", "c_custkey")
@@ -273,10 +315,11 @@ def unpivot_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pivot_stats(spark: SparkSession, sf: str) -> DataFrame:
-    counted = table(spark, sf, "events").groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
-    return reshape.to_wide(
-        counted, ["user_id"], "event_type", "n", ["click", "error", "purchase", "signup", "view"]
-    )
+    """The known types have columns of their own; whatever else there is, is counted in the last."""
+    known = ["click", "error", "purchase", "signup", "view"]
+    kind = F.when(F.col("event_type").isin(known), F.col("event_type")).otherwise("other").alias("kind")
+    counted = table(spark, sf, "events").groupBy("user_id", kind).agg(F.count("*").alias("n"))
+    return reshape.to_wide(counted, ["user_id"], "kind", "n", [*known, "other"])
 
 
 def total_with_groups(spark: SparkSession, sf: str) -> DataFrame:
@@ -308,7 +351,7 @@ def cluster_sizes(spark: SparkSession, sf: str) -> DataFrame:
 
 def _dimensions(spark: SparkSession, sf: str) -> DataFrame:
     values = F.col("embedding")
-    return table(spark, sf, "embeddings").select("label", *[values[i].alias(d) for i, d in enumerate(DIMENSIONS)])
+    return table(spark, sf, "embeddings").select("vec_id", "label", *[values[i].alias(d) for i, d in enumerate(DIMENSIONS)])
 
 
 def cluster_profile(spark: SparkSession, sf: str) -> DataFrame:
@@ -350,6 +393,30 @@ def elbow(spark: SparkSession, sf: str) -> DataFrame:
     return cluster.elbow(_vectors(spark, sf), range(1, 7))
 
 
+def _far_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers in four groups far apart, as vectors."""
+    group = (F.col("c_nationkey") % 4 * 1000).cast("double")
+    vector = F.array(group, F.col("c_acctbal") / 100)
+    return table(spark, sf, "customer").withColumn("features", array_to_vector(vector))
+
+
+def kmeans_separated(spark: SparkSession, sf: str) -> DataFrame:
+    return cluster.kmeans_labels(_far_groups(spark, sf), 4, ident="c_custkey").select("c_custkey", "cluster")
+
+
+def elbow_separated(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(cluster.elbow(_far_groups(spark, sf), [1, 4], ident="c_custkey"), 0, "inertia", "drop")
+
+
+def pca_pair(spark: SparkSession, sf: str) -> DataFrame:
+    """Two standardised columns, the second at half its weight, so that the components have a closed form."""
+    scaled = impute.standardize(table(spark, sf, "customer"), ["c_acctbal", "c_nationkey"])
+    pair = scaled.withColumn("features", array_to_vector(F.array(F.col("c_acctbal_z"), F.col("c_nationkey_z") / 2)))
+    share = cluster.project(pair, 1).select("c_custkey", "explained")
+    found = cluster.project(pair, 2).select("c_custkey", "pc1", "pc2").join(share, "c_custkey")
+    return rounded(found, 5, "pc1", "pc2", "explained")
+
+
 def pca_2d(spark: SparkSession, sf: str) -> DataFrame:
     return cluster.project(_vectors(spark, sf)).select("vec_id", "pc1", "pc2", "explained")
 
@@ -364,7 +431,7 @@ def regr_by_group(spark: SparkSession, sf: str) -> DataFrame:
 
 def regression_quality(spark: SparkSession, sf: str) -> DataFrame:
     items = table(spark, sf, "lineitem")
-    lines = regress.line_by_group(items, ["l_returnflag"], "l_extendedprice", "l_quantity")
+    lines = stage(regress.line_by_group(items, ["l_returnflag"], "l_extendedprice", "l_quantity"), "lines")
     fitted = items.join(lines, "l_returnflag").withColumn(
         "predicted", F.col("intercept") + F.col("slope") * F.col("l_quantity")
     )
@@ -374,7 +441,7 @@ def regression_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 def residuals(spark: SparkSession, sf: str) -> DataFrame:
     items = table(spark, sf, "lineitem")
-    lines = regress.line_by_group(items, ["l_returnflag"], "l_extendedprice", "l_quantity")
+    lines = stage(regress.line_by_group(items, ["l_returnflag"], "l_extendedprice", "l_quantity"), "lines")
     fitted = items.join(lines, "l_returnflag").withColumn(
         "predicted", F.col("intercept") + F.col("slope") * F.col("l_quantity")
     )
@@ -383,6 +450,21 @@ def residuals(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def value_line_sparse(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows without a category, with an empty one, and a category each for a tenth of the parts."""
+    key = F.col("p_partkey")
+    kind = F.when(key % 10 == 1, F.lit("")).when(key % 10 == 2, F.lit(None)).when(
+        key % 10 == 3, F.concat(F.lit("only "), key.cast("string"))).otherwise(F.col("p_type"))
+    part = table(spark, sf, "part").select("p_partkey", kind.alias("kind"), (F.col("p_retailprice") - 930).alias("actual"), "p_size")
+    return regress.estimate_by_category(part, "kind", ["p_size"], "actual", "p_partkey")
+
+
+def value_two_features(spark: SparkSession, sf: str) -> DataFrame:
+    part = table(spark, sf, "part").select(
+        "p_partkey", "p_type", F.col("p_retailprice").alias("actual"), "p_size", (F.col("p_partkey") % 101).alias("turn"))
+    return regress.estimate_by_category(part, "p_type", ["p_size", "turn"], "actual", "p_partkey").select("p_partkey", "predicted", "is_train")
+
+
 def train_test_split(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "customer").select(
         "c_custkey", regress.in_training(F.col("c_name")).alias("is_train")
@@ -422,8 +504,7 @@ def leaders_report(spark: SparkSession, sf: str) -> DataFrame:
     return reports.leaders_report(_line_leaders(spark, sf, "sum"), "l_suppkey", LINE_METRICS, COMPETITION)
 
 
-def cluster_report(spark: SparkSession, sf: str) -> DataFrame:
-    customers = table(spark, sf, "customer").withColumn("cluster", F.col("c_nationkey") % 4)
+def _customer_report(customers: DataFrame) -> DataFrame:
     means = stage(profile.profile(customers, "cluster", CUSTOMER_METRICS), "means")
     order = F.array_position(F.array(*[F.lit(m) for m in CUSTOMER_METRICS]), F.col("metric"))
     high = profile.standouts(means, "cluster").withColumn("ord", order)
@@ -438,6 +519,16 @@ def cluster_report(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def cluster_report(spark: SparkSession, sf: str) -> DataFrame:
+    return _customer_report(table(spark, sf, "customer").withColumn("cluster", F.col("c_nationkey") % 4))
+
+
+def cluster_report_fitted(spark: SparkSession, sf: str) -> DataFrame:
+    """The report of clusters that were fitted."""
+    fitted = cluster.kmeans_labels(_far_groups(spark, sf), 4, ident="c_custkey").drop("features")
+    return _customer_report(stage(fitted, "fitted"))
+
+
 def table_scan(spark: SparkSession, sf: str) -> DataFrame:
     schema = T.StructType([
         T.StructField("s_suppkey", T.LongType()), T.StructField("s_name", T.StringType()),
@@ -455,6 +546,14 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return files.read_csv(spark, path, known.schema)
 
 
+def csv_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """Columns in another order, and one that is not asked for."""
+    known = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    path = new_path(spark, "customers-csv")
+    files.write_csv(known, path, ["c_acctbal", "c_mktsegment", "c_custkey", "c_name"])
+    return files.read_csv(spark, path, known.select("c_custkey", "c_name", "c_acctbal").schema)
+
+
 def csv_multiline(spark: SparkSession, sf: str) -> DataFrame:
     routes = table(spark, sf, "part").select("p_partkey", F.translate("p_name", " ", "\n").alias("route"))
     path = new_path(spark, "routes-csv")
@@ -487,7 +586,9 @@ QUERIES = {
         dest_mismatch, metric_difference, unpivot_metrics, pivot_stats, total_with_groups, distinct_groups,
         category_top2, category_list, cluster_sizes, cluster_profile, standout_features, standout_features_scaled,
         nearest_centroid, kmeans_k4, elbow, pca_2d, regr_by_group, regression_quality, residuals, train_test_split,
-        value_line, value_model, cluster_report,
+        value_line, value_model, cluster_report, value_line_sparse, value_two_features, kmeans_separated,
+        elbow_separated, pca_pair, wide_group_stats, wide_extremes, wide_leaders, approx_name_join_many,
+        approx_name_join_words, csv_by_name, cluster_report_fitted,
         extremes_report, leaders_report, table_scan, csv_roundtrip, csv_multiline, csv_sorted, report_text,
     ]
 }

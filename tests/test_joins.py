@@ -15,9 +15,8 @@ def distance(a, b):
     return row[-1]
 
 
-@pytest.mark.parametrize("limit, broadcast", [(0, 10**6), (1, 0), (2, 10**6), (2, 300), (3, 0)])
-def test_similar_names_are_all_found(spark, monkeypatch, limit, broadcast):
-    monkeypatch.setattr(joins, "BROADCAST_KEYS", broadcast)
+@pytest.mark.parametrize("limit", [0, 1, 2, 3])
+def test_similar_names_are_all_found(spark, limit):
     rng = random.Random(limit)
     word = lambda: "".join(rng.choice("abc") for _ in range(rng.randint(0, 7)))
     left = sorted({(rng.choice("xy"), word()) for _ in range(20)})
@@ -64,8 +63,30 @@ def test_aliases_and_contradictions(spark):
     resolved = joins.resolve_alias(frame, "c", {"Man T": "Manford Town"}, "full")
     assert [r["full"] for r in joins.contradicting(resolved, "full", "team").collect()] == ["Elsewhere"]
     assert resolved.count() == 3
-    with pytest.raises(ValueError):
-        joins.alias_table(spark, {str(i): "x" for i in range(joins.MAX_ALIASES + 1)})
+    many = spark.range(20_000).select(F.col("id").cast("string").alias("alias"), F.lit("x").alias("full_name"))
+    own = spark.createDataFrame([("7", "kept", "too")], "c string, alias string, full_name string")
+    assert joins.resolve_alias(own, "c", many, "full").collect()[0].asDict() == {"c": "7", "alias": "kept", "full_name": "too", "full": "x"}
+
+
+def test_candidates_stay_few(spark, monkeypatch):
+    measured = []
+    names = [f"player number {i:05d}" for i in range(400)]
+    frame = spark.createDataFrame([("", n) for n in names], "block string, folded string")
+    original = joins.stage
+    monkeypatch.setattr(joins, "stage", lambda df, label, *a: measured.append((label, original(df, label, *a))) or measured[-1][1])
+    short = frame.select("block", F.expr("substring(folded, 1, 16) || substring(folded, 18)").alias("folded"))
+    found = joins._closest_names(short, frame, 2)
+    assert found.count() == short.distinct().count() == 100
+    left, right = ([x for label, x in measured if label == f"keys-{side}"][0] for side in ("left", "right"))
+    assert left.join(right, "key").select("folded", "match").distinct().count() < 400 * 100
+
+
+def test_names_that_share_words(spark):
+    left = spark.createDataFrame([("Luz Sávio",), ("Jose da Silva Santos",), ("Luz",), ("Nobody",)], "n string")
+    right = spark.createDataFrame([(1, "Sávio Godinho Luz"), (2, "Santos Silva"), (3, "Luz Beta"), (4, "Luz Alfa")], "rid int, name string")
+    found = joins.approx_name_join(left, right, "n", "name", "rid", None, 1, "left", shared_words=True)
+    assert {r["n"]: (r["match_id"], r["distance"]) for r in found.collect()} == {
+        "Luz Sávio": (1, 1), "Jose da Silva Santos": (2, 2), "Luz": (4, 1), "Nobody": (None, None)}
 
 
 def test_one_to_many_keeps_every_transfer(spark):

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from statlab.operators import cluster, profile, regress
@@ -74,12 +75,24 @@ def test_nearest_centroid_and_tie(spark):
         cluster.nearest_centroid(spark.createDataFrame([([1.0],)], "v array<double>"), "v", centres, "label").collect()
 
 
-def test_too_many_centroids_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(cluster, "MAX_CENTROIDS", 1)
-    centres = spark.createDataFrame([(7, [5.0]), (3, [0.0])], "label int, centroid array<double>")
-    points = spark.createDataFrame([([0.0],)], "v array<double>")
-    with pytest.raises(ValueError, match="too many centroids"):
-        cluster.nearest_centroid(points, "v", centres, "label")
+def test_centroids_go_through_in_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    centres, points = rng.normal(size=(23, 3)), rng.normal(size=(200, 3))
+    known = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(centres)] + [(None, [0.0] * 3), (99, centres[5].tolist())], "label int, centroid array<double>")
+    frame = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)] + [(900, None)], "id int, v array<double>")
+    want = {i: int(((centres - p) ** 2).sum(axis=1).argmin()) for i, p in enumerate(points)} | {900: None}
+    for held in (3, 12, 10**6):
+        monkeypatch.setattr(cluster, "HELD", held)
+        got = {r["id"]: r["nearest"] for r in cluster.nearest_centroid(frame, "v", known, "label").collect()}
+        assert got == want
+    assert cluster.nearest_centroid(frame, "v", known.limit(0), "label").where("nearest IS NULL").count() == 201
+
+
+def test_labels_do_not_depend_on_the_partitions(spark):
+    frame = spark.range(300).select("id", array_to_vector(F.array(
+        (F.pmod("id", F.lit(4)) * 50).cast("double"), F.pmod(F.xxhash64("id"), F.lit(10)).cast("double"))).alias("features"))
+    found = [sorted(map(tuple, cluster.kmeans_labels(frame.repartition(n), 4, ident="id").select("id", "cluster").collect())) for n in (1, 3, 7)]
+    assert found[0] == found[1] == found[2] and len({c for _, c in found[0]}) == 4
 
 
 def test_model_per_category(spark):
@@ -106,11 +119,38 @@ def test_any_regressor_can_be_used(spark):
     assert {r["predicted"] for r in found.collect()} == {30.0, 0.1}
 
 
-def test_too_many_categories_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(regress, "MAX_CATEGORIES", 2)
-    frame = spark.range(9).select("id", F.col("id").cast("string").alias("c"), F.lit(1.0).alias("x"), F.lit(1.0).alias("y"))
-    with pytest.raises(ValueError):
-        regress.estimate_by_category(frame, "c", ["x"], "y", "id")
+@pytest.mark.parametrize("boosted", [False, True])
+def test_no_row_is_lost(spark, boosted):
+    from pyspark.ml.regression import GBTRegressor
+
+    kind = F.when(F.col("id") % 4 == 0, "").when(F.col("id") % 4 == 1, F.lit(None)).when(F.col("id") % 4 == 2, "GK").otherwise(
+        F.concat(F.lit("lone "), F.col("id").cast("string")))
+    frame = spark.range(120).select("id", kind.alias("c"), (F.col("id") % 10).cast("double").alias("x"), (F.col("id") % 10 * 2.0 + 1).alias("y"))
+    frame = frame.withColumn("x", F.when(F.col("id") != 6, F.col("x")))
+    found = regress.estimate_by_category(frame, "c", ["x"], "y", "id", regressor=GBTRegressor(maxIter=1, seed=1) if boosted else None).collect()
+    assert sorted(r["id"] for r in found) == list(range(120))
+    for r in found:
+        lone = r["c"] is not None and r["c"].startswith("lone")
+        assert (r["predicted"] is None) == (r["c"] is None or r["id"] == 6 or (lone and not r["is_train"]))
+        if r["c"] in ("", "GK") and not boosted and r["id"] != 6:
+            assert r["predicted"] == pytest.approx(r["y"], abs=0.01)
+
+
+def test_many_categories_and_features(spark):
+    frame = spark.range(3000).select(
+        "id", (F.col("id") % 300).cast("string").alias("c"), *[F.pmod(F.xxhash64("id", F.lit(k)), F.lit(50)).cast("double").alias(f"x{k}") for k in range(3)])
+    frame = frame.withColumn("y", 1e6 + F.col("x0") * 3 - F.col("x1") + 0.5 * F.col("x2") * 0 + F.col("c").cast("double"))
+    found = regress.estimate_by_category(frame, "c", ["x0", "x1", "x2"], "y", "id")
+    assert found.count() == 3000
+    assert found.where(F.abs(F.col("predicted") - F.col("y")) > 0.02).count() < 60
+
+
+def test_lines_are_joined_without_moving_the_rows_by_group(spark, no_broadcast):
+    from statlab.plans.table_queries import residuals
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    plan = residuals(spark, "/root/testdata/sf0.01")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(l_returnflag" not in plan
 
 
 def test_quality(spark):

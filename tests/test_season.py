@@ -124,6 +124,15 @@ def test_transfers(spark, players, rows, tmp_path):
     assert [r["to_team"] for r in season.contradicting_transfers(found).collect()] == ["Elsewhere"]
 
 
+def test_a_transfer_goes_to_one_of_several_namesakes(spark):
+    names = ["player", "team", "minutes"]
+    players = spark.createDataFrame([("Ann Lee", "A", 1000.0), ("Ann Lee", "B", 1000.0), ("Bo", "C", 1000.0)], names)
+    data = [("Ann Lee", "B", 1000, "€1M", "X\nB"), ("Ann Lee", "B", 1000, "€2M", "X\nZ"), ("Bo", "C", 1000, "Free", "X")]
+    found = season.player_transfers(players, spark.createDataFrame(data, catalog.TRANSFERS), {}, max_distance=0)
+    assert sorted((r["player"], r["team"], r["fee"], r["contradicts"]) for r in found.collect()) == [
+        ("Ann Lee", "A", "€2M", True), ("Ann Lee", "B", "€1M", False), ("Bo", "C", "Free", None)]
+
+
 def test_value_estimates(spark, players, rows, tmp_path):
     listed = [(r["player"].lower(), r["team"], float(i)) for i, r in enumerate(rows) if i % 5]
     values = spark.createDataFrame(listed, "player string, team string, value_m double")
