@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from multiprocessing.pool import ThreadPool
 from typing import Any
 
@@ -43,8 +44,29 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_open_scratch: list[list[str]] = []
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    for paths in _open_scratch:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is written to the shared folder inside the block is removed at its end, so the result has to be written
+    elsewhere or read before. Outside of such a block the files are left to the retention of the folder."""
+    paths: list[str] = []
+    _open_scratch.append(paths)
+    try:
+        yield
+    finally:
+        _open_scratch.remove(paths)
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def side_by_side(spark: SparkSession, tasks: Sequence[Callable[[], Any]], threads: int) -> list[Any]:

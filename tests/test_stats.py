@@ -189,3 +189,22 @@ def test_long_and_wide_are_inverse(spark):
     long = to_long(frame, ["id"], ["x", "y"], keep_nulls=True)
     assert long.count() == 4 and to_long(frame, ["id"], ["x", "y"]).count() == 2
     assert sorted(to_wide(long, ["id"], "metric", "value", ["x", "y"]).collect()) == sorted(frame.collect())
+
+
+def test_scratch_files_are_removed(spark, tmp_path):
+    from pathlib import Path
+
+    from statlab.session import scratch, shared_folder, stage
+
+    with scratch(spark):
+        kept = stage(spark.range(5), "gone").collect()
+        folder = Path(shared_folder(spark).removeprefix("file://"))
+        assert [p for p in folder.iterdir() if p.name.startswith("gone-")]
+    assert len(kept) == 5 and not [p for p in folder.iterdir() if p.name.startswith("gone-")]
+
+
+def test_the_shape_of_a_season_is_read_few_times(spark):
+    from statlab.plans.table_queries import wide_leaders
+
+    plan = wide_leaders(spark, "/root/testdata/sf0.01")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1
