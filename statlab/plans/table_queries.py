@@ -355,7 +355,10 @@ def _dimensions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cluster_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(profile.profile(_dimensions(spark, sf), "label", DIMENSIONS), 6, "mean")
+    """Means of an array column: one vector per group is aggregated, not 64 columns."""
+    means = cluster.group_centroids(table(spark, sf, "embeddings"), "label", "embedding")
+    long = means.select("label", F.posexplode("centroid").alias("d", "mean"))
+    return rounded(long.select("label", F.concat(F.lit("d"), F.col("d")).alias("metric"), "mean"), 6, "mean")
 
 
 def _flag_profile(spark: SparkSession, sf: str) -> DataFrame:
