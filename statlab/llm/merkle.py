@@ -10,7 +10,8 @@ from statlab.llm.common import LOWEST, range_bins
 
 #: Ranges of doc_id in which neighbours are looked up, at most.
 BINS = 1024
-CLAUSE = r"(?<=[^\p{L}\p{N}\s])\s+"
+#: A clause ends where space follows a character that is no letter, digit or space.
+CLAUSE_END = r"([^\p{L}\p{N} \t\n\f\r])[ \t\n\f\r]+"
 
 
 def _paragraphs(section: Column) -> Column:
@@ -29,14 +30,15 @@ def root(tree: Column) -> Column:
 
 
 def leaves(text: Column) -> Column:
-    """Hashes of the different clauses: a paragraph is cut where space follows punctuation."""
-    return F.array_distinct(F.transform(F.split(text, r"\n|" + CLAUSE), lambda x: F.xxhash64(x)))
+    """Digests of the different clauses; a paragraph is cut where space follows punctuation."""
+    clauses = F.split(F.regexp_replace(text, CLAUSE_END, "$1\n"), "\n")
+    return F.array_distinct(F.transform(clauses, lambda x: F.substring(F.md5(x.cast("binary")), 1, 16)))
 
 
 def fingerprint(tree: Column, clauses: Column) -> Column:
     """Root, section roots, and 24 bits of each clause, as one string; equal texts have equal ones."""
     nodes = F.array_join(F.transform(tree, lambda s: F.substring(F.md5(F.array_join(s, ",").cast("binary")), 1, 8)), ".")
-    codes = F.array_join(F.transform(clauses, lambda x: F.lpad(F.hex(F.pmod(x, F.lit(1 << 24))), 6, "0")), "")
+    codes = F.array_join(F.transform(clauses, lambda x: F.substring(x, 1, 6)), "")
     return F.concat_ws("/", root(tree), nodes, codes)
 
 

@@ -10,7 +10,7 @@ from statlab.llm.common import WORD, numbered
 from statlab.session import stage
 
 #: Blocks per source (2**8), and the bits by which the cut of a quota is narrowed before single documents are looked at.
-BLOCK_BITS, STEP_BITS, STEPS = 8, 12, 2
+PERM_BITS, BLOCK_BITS, STEP_BITS, STEPS = 60, 8, 12, 2
 ROUNDS = 64
 
 
@@ -43,8 +43,9 @@ def targets(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3
 
 
 def _perm(seed: int) -> Column:
-    """A document's place in its source's permutation: 63 bits that depend on id and text alone."""
-    return F.xxhash64(F.lit(seed), F.col("doc_id"), F.xxhash64(F.col("text"))).bitwiseAND((1 << 63) - 1)
+    """A document's place in its source's permutation: 60 bits that depend on id and text alone."""
+    digits = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit("")).cast("binary"))).cast("binary"))
+    return F.conv(F.substring(digits, 1, 15), 16, 10).cast("long")
 
 
 def _same(name: str) -> Column:
@@ -64,7 +65,7 @@ def quotas(docs: DataFrame, sources: DataFrame) -> DataFrame:
     left = left.withColumn("rest", F.col("target") - F.col("full") * F.col("source_size")).withColumn("range", F.lit(0).cast("long"))
     left = left.select("source", "full", "rest", "range")
     for step in range(1, STEPS + 1):
-        bits = 63 - step * STEP_BITS
+        bits = PERM_BITS - step * STEP_BITS
         sums = docs.select("source", "size", F.shiftright("perm", bits).alias("finer")).groupBy("source", "finer").agg(F.sum("size").alias("size"))
         inside = sums.alias("l").join(left.alias("r"), _same("source") & (F.shiftright("finer", STEP_BITS) == F.col("range")))
         inside = inside.select("r.source", "full", "rest", "finer", "size")
@@ -73,7 +74,7 @@ def quotas(docs: DataFrame, sources: DataFrame) -> DataFrame:
         known = inside.withColumn("before", before).where(F.col("before") <= F.col("rest"))
         last = known.groupBy("source", "full").agg(F.max("finer").alias("range"), F.max_by(F.col("rest") - F.col("before"), "finer").alias("rest"))
         left = stage(last.select("source", "full", "rest", "range"), "quota")
-    bits = 63 - STEPS * STEP_BITS
+    bits = PERM_BITS - STEPS * STEP_BITS
     near = docs.alias("l").join(left.alias("r"), _same("source") & (F.shiftright("perm", bits) == F.col("range")))
     sums = near.groupBy("r.source", "full", "rest", "range", "perm").agg(F.sum("size").alias("size"))
     running = F.sum("size").over(Window.partitionBy("source").orderBy("perm"))
@@ -92,7 +93,8 @@ def splitting_tree(blocks: DataFrame, shards: int, seed: int) -> DataFrame:
     """
     tree = blocks.withColumn("shard", F.lit(0))
     for level in range(shards.bit_length() - 1):
-        draw = F.xxhash64(F.lit(seed), F.lit(level), "source", "block", "copy")
+        drawn = [F.lit(str(seed)), F.lit(str(level)), F.coalesce("source", F.lit("")), F.col("block").cast("string"), F.col("copy").cast("string")]
+        draw = F.md5(F.concat_ws("|", *drawn).cast("binary"))
         node = Window.partitionBy("shard")
         rank = F.row_number().over(node.orderBy(draw, "source", "block", "copy"))
         right = (rank * 2 > F.count("*").over(node)).cast("int")
@@ -113,7 +115,7 @@ def mix(docs: DataFrame, shards: int = 8, seed: int = 17) -> DataFrame:
     shares = stage(targets(slim, most=3), "targets")
     cuts = stage(shares.alias("l").join(quotas(slim, shares).alias("r"), _same("source"), "left").select("l.*", "full", "cut"), "cuts")
     again = F.coalesce(F.col("full"), F.lit(0)) + F.coalesce(F.col("perm") <= F.col("cut"), F.lit(False)).cast("int")
-    block = F.shiftright("perm", 63 - BLOCK_BITS).cast("int")
+    block = F.shiftright("perm", PERM_BITS - BLOCK_BITS).cast("int")
     kept = slim.withColumn("block", block).alias("l").join(cuts.alias("r"), _same("source")).select("l.source", "block", again.alias("copies"))
     blocks = kept.groupBy("source", "block").agg(F.max("copies").alias("copies"))
     dealt = splitting_tree(
