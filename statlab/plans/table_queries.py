@@ -73,7 +73,7 @@ def stats_of_events(spark: SparkSession, sf: str) -> DataFrame:
 
 def wide_group_stats(spark: SparkSession, sf: str) -> DataFrame:
     """The shape of a season: 64 metrics with three statistics each."""
-    wide = stats.group_stats_wide(_dimensions(spark, sf), "label", DIMENSIONS).drop("is_total")
+    wide = stats.group_stats_wide(stage(_dimensions(spark, sf), "dimensions"), "label", DIMENSIONS).drop("is_total")
     return rounded(wide, 6, *[c for c in wide.columns if c != "group"])
 
 
@@ -95,7 +95,7 @@ def extremes_of_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def wide_extremes(spark: SparkSession, sf: str) -> DataFrame:
-    return rank.extremes(_dimensions(spark, sf), "vec_id", DIMENSIONS)
+    return rank.extremes(stage(_dimensions(spark, sf), "dimensions"), "vec_id", DIMENSIONS)
 
 
 def first5_per_group(spark: SparkSession, sf: str) -> DataFrame:
