@@ -145,6 +145,13 @@ def _leaf_pair(cosine: float):
 # --- the upper levels
 
 
+def _one_of_nearest(away: np.ndarray, cids: np.ndarray) -> np.ndarray:
+    """The nearest centre; among equally near ones a turn decides, so that vectors of one direction part as well."""
+    near = away <= away.min(axis=1, keepdims=True) + SLACK
+    turn = cids.view(np.uint64) % near.sum(axis=1).astype(np.uint64)
+    return (np.cumsum(near, axis=1) > turn[:, None].astype(np.int64)).argmax(axis=1)
+
+
 def _assigned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows in order of cell and run, centres before vectors: each vector's nearest centre and its distance."""
     cell, centres, numbers = None, [], []
@@ -168,7 +175,7 @@ def _assigned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if ready is None:
                 ready = np.concatenate(centres), np.concatenate(numbers)
             away = _distances(points, ready[0])
-            best = away.argmin(axis=1)
+            best = _one_of_nearest(away, batch.column("cid").to_numpy()[s:e])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("cell").slice(s, e - s), pa.array(ready[1][best]), batch.column("cid").slice(s, e - s),
                  batch.column("copies").slice(s, e - s), dims.slice(s, e - s), pa.array(away[np.arange(e - s), best])],

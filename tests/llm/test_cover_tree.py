@@ -58,5 +58,11 @@ def test_pruned_pairs_are_exact():
     assert chord(1.0) == 0.0
 
 
+def test_many_vectors_of_one_direction(spark):
+    rows = [(i, [float(i + 1), 2.0 * (i + 1)], 3) for i in range(90)]
+    found = near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), leaf=20).collect()
+    assert {(r["n_links"], r["component_id"]) for r in found} == {(89, 0)}
+
+
 def test_empty_table(vectors_none):
     assert near_duplicates(vectors_none).collect() == []
