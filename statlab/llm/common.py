@@ -40,6 +40,32 @@ def numbered(df: DataFrame, order: Sequence[str], name: str, parts: int = 64) ->
     return ranged.withColumn(name, first.cast("long") + place - 1).drop("_range")
 
 
+def first_by_hash(df: DataFrame, group: str, most: int) -> DataFrame:
+    """At most ``most`` rows of each group, those with the smallest hash of ``doc_id``, with their ``place`` from 1.
+
+    The rows per group are counted first; then only rows below a hash that about twice as many rows reach are looked
+    at, and more if those were too few. So a few rows are sorted, whatever the size of a group. To the driver come
+    counts per group, which are few (languages, labels); a null group is left out.
+    """
+    chance = F.xxhash64("doc_id").bitwiseAND((1 << 63) - 1)
+    known = df.where(F.col(group).isNotNull())
+    counts = {r[0]: r[1] for r in known.groupBy(group).count().collect()}
+    wanted = {g: min(n, most) for g, n in counts.items()}
+    times = 2
+    while True:
+        bounds = {g: min(1 << 63, int((times * most + 64) / n * (1 << 63))) - 1 for g, n in counts.items()}
+        limit = F.lit(-1)
+        for g, bound in bounds.items():
+            limit = F.when(F.col(group) == g, F.lit(bound)).otherwise(limit)
+        near = stage(known.withColumn("_chance", chance).where(F.col("_chance") <= limit), "sampled")
+        found = {r[0]: r[1] for r in near.groupBy(group).count().collect()}
+        if all(found.get(g, 0) >= n for g, n in wanted.items()):
+            break
+        times *= 4
+    first = Window.partitionBy(group).orderBy("_chance", "doc_id", *(F.xxhash64(c) for c in df.columns if c != "doc_id"))
+    return near.withColumn("place", F.row_number().over(first)).where(F.col("place") <= most).drop("_chance")
+
+
 def range_bins(key: Column, bounds: list[int]) -> Column:
     """The number of ``bounds`` (ascending) at or below ``key``, found by blocks of 32."""
     if not bounds:
@@ -72,7 +98,7 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(16, (n - 1).bit_length())
+    size = 1 << max(16, n.bit_length())
     if size not in _powers:
         inverse = pow(_BASE, -1, 1 << 64)
         _powers.clear()
@@ -116,7 +142,7 @@ def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def slices(batches, most_bytes: int = 1 << 22, column: str = "text"):
+def slices(batches, most_bytes: int = 1 << 20, column: str = "text"):
     """Record batches cut so that a piece holds about ``most_bytes`` of text, or a single row."""
     for batch in batches:
         if not batch.num_rows:

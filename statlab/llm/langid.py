@@ -15,9 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from statlab.llm.common import held_out, slices, text_bytes
+from statlab.llm.common import first_by_hash, held_out, slices, text_bytes
 from statlab.session import stage
 
 #: Places n-grams are hashed to, the longest n-gram, texts learned from and landmarks, each per language at most.
@@ -67,9 +66,7 @@ class LanguageModel:
 def _sample(docs: DataFrame, learned: int) -> DataFrame:
     """The texts to learn from: per language those with the smallest hashes, outside of the held-out quarter."""
     usable = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    ranked = usable.select("doc_id", "lang", "text").withColumn("place", F.row_number().over(first))
-    return ranked.where(F.col("place") <= learned).select("lang", "place", "text")
+    return first_by_hash(usable.select("doc_id", "lang", "text"), "lang", learned).select("lang", "place", "text")
 
 
 def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -13,9 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from statlab.llm.common import held_out, slices, text_bytes, word_hashes
+from statlab.llm.common import first_by_hash, held_out, slices, text_bytes, word_hashes
 from statlab.session import stage
 
 #: Places words are hashed to, length of the vectors, and texts learned from, per label at most.
@@ -150,8 +149,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, learned: int = LEARNED) -> F
     To the driver come their features. Only labels 0 and 1 count; of several labels of one document, the smallest.
     """
     marks = labels.where(F.col("quality").isin(0, 1) & ~held_out()).groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
-    first = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
-    marks = stage(marks.withColumn("place", F.row_number().over(first)).where(F.col("place") <= learned).drop("place"), "marks")
+    marks = stage(first_by_hash(marks, "quality", learned).drop("place"), "marks")
     sample = docs.select("doc_id", "text", F.col("n_chars").cast("double").alias("n_chars")).join(F.broadcast(marks), "doc_id")
     found = sample.mapInArrow(_collected, "quality int, places array<int>, found array<float>").collect()
     found = sorted((r["quality"], r["places"], r["found"]) for r in found)
