@@ -23,8 +23,8 @@ from statlab.session import stage
 PLACES, LONGEST, LEARNED, LANDMARKS = 1 << 14, 4, 600, 24
 RIDGE = 1e-4
 UNKNOWN = "und"
-#: Texts that no language's classifier gives this score are in none of the learned languages.
-ACCEPTED = 0.25
+#: The part of the learned texts that may lie farther off than its bounds say.
+OUTLYING = 0.005
 
 
 def presence(column) -> np.ndarray:
@@ -46,11 +46,15 @@ def presence(column) -> np.ndarray:
 
 @dataclass
 class LanguageModel:
-    """Landmarks (packed bits), and per language the weights of the kernel values to them."""
+    """Landmarks (packed bits), and per language the weights of the kernel values to them.
+
+    ``bounds`` are the share and the margin that nearly all learned texts reach.
+    """
 
     languages: list[str]
     landmarks: np.ndarray
     weights: np.ndarray
+    bounds: tuple[float, float]
 
     def kernel(self, texts: np.ndarray) -> np.ndarray:
         marks = np.unpackbits(self.landmarks, axis=1).astype(np.float32)
@@ -58,9 +62,21 @@ class LanguageModel:
         norms = np.sqrt(np.maximum(known.sum(axis=1), 1))[:, None] * np.sqrt(np.maximum(marks.sum(axis=1), 1))[None]
         return (known @ marks.T / norms).astype(np.float64)
 
-    def scores(self, texts: np.ndarray) -> np.ndarray:
+    def scores(self, kernel: np.ndarray) -> np.ndarray:
         """Per text and language 0 to 1; at a half, the language and the rest are as likely."""
-        return np.clip((self.kernel(texts) @ self.weights + 1.0) / 2.0, 0.0, 1.0)
+        return np.clip((kernel @ self.weights + 1.0) / 2.0, 0.0, 1.0)
+
+    def closeness(self, kernel: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The largest share of a text's n-grams that a landmark has, and by how much the best score leads."""
+        marks = np.unpackbits(self.landmarks, axis=1).sum(axis=1)
+        share = (kernel * np.sqrt(np.maximum(marks, 1))[None]).max(axis=1) / np.sqrt(np.maximum(sizes, 1))
+        best = np.sort((kernel @ self.weights + 1.0) / 2.0, axis=1)
+        return share, best[:, -1] - (best[:, -2] if len(self.languages) > 1 else 0.0)
+
+    def near(self, kernel: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Whether each text is as close to the languages, by share or margin, as the learned texts are."""
+        share, margin = self.closeness(kernel, sizes)
+        return (share >= self.bounds[0]) | (margin >= self.bounds[1])
 
 
 def _sample(docs: DataFrame, learned: int) -> DataFrame:
@@ -79,39 +95,46 @@ def fit_languages(docs: DataFrame, learned: int = LEARNED, landmarks: int = LAND
     """Learns from at most ``learned`` texts of each language, ``landmarks`` of which are the landmarks.
 
     To the driver come, for each of the languages, 2 kB per landmark and one number per learned text and landmark.
+    The bounds are taken from the learned texts too, each without its own copy among the landmarks.
     """
     sample = stage(_sample(docs, learned), "learned")
     marks = sample.where(F.col("place") <= landmarks).mapInArrow(_bits, "lang string, bits binary").collect()
     languages = sorted({r["lang"] for r in marks})
-    model = LanguageModel(languages, np.zeros((0, PLACES // 8), np.uint8), np.zeros((0, len(languages))))
+    model = LanguageModel(languages, np.zeros((0, PLACES // 8), np.uint8), np.zeros((0, len(languages))), (0.0, 0.0))
     if not languages:
         return model
     model.landmarks = np.stack([np.frombuffer(r["bits"], np.uint8) for r in sorted(marks, key=lambda r: (r["lang"], r["bits"]))])
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1 << 20):
-            values = model.kernel(presence(batch.column("text")))
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(list(values), pa.list_(pa.float64()))], ["lang", "values"])
+            texts = presence(batch.column("text"))
+            values = pa.array(list(model.kernel(texts)), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), values, pa.array(texts.sum(axis=1, dtype=np.int64))], ["lang", "values", "size"])
 
-    rows = sorted((r["lang"], r["values"]) for r in sample.mapInArrow(near, "lang string, values array<double>").collect())
-    kernel = np.array([v for _, v in rows])
+    rows = sorted((r["lang"], r["values"], r["size"]) for r in sample.mapInArrow(near, "lang string, values array<double>, size long").collect())
+    kernel = np.array([v for _, v, _ in rows])
     own = model.kernel(np.unpackbits(model.landmarks, axis=1))
     value, vector = np.linalg.eigh((own + own.T) / 2)
     whiten = vector / np.sqrt(np.maximum(value, 1e-6))
     features = np.hstack([kernel @ whiten])
-    targets = np.where(np.array([lang for lang, _ in rows])[:, None] == np.array(languages)[None], 1.0, -1.0)
+    targets = np.where(np.array([lang for lang, _, _ in rows])[:, None] == np.array(languages)[None], 1.0, -1.0)
     balance = 1.0 / (targets > 0).sum(axis=0)[np.argmax(targets, axis=1)][:, None]
     ridge = features.T @ (features * balance) + RIDGE * np.eye(features.shape[1])
     model.weights = whiten @ np.linalg.solve(ridge, features.T @ (targets * balance))
+    sizes = np.array([n for _, _, n in rows])
+    share, _ = model.closeness(np.where(kernel < 1 - 1e-9, kernel, 0.0), sizes)
+    _, margin = model.closeness(kernel, sizes)
+    model.bounds = tuple(float(np.quantile(x, OUTLYING, method="lower")) for x in (share, margin))
     return model
 
 
 def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """Adds ``lang_pred`` and ``score``, from the text alone. Without a letter, or a learned language: ``und`` and 0.
 
-    Columns of these names in the input are replaced; all others are passed through.
+    ``near`` says whether the text is about as close to the learned languages as their own texts are. Columns of these names
+    in the input are replaced; all others are passed through.
     """
-    own = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    own = [c for c in docs.columns if c not in ("lang_pred", "score", "near")]
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.select(*[F.col(f"`{c}`") for c in own]).dtypes)
     known = docs.select(*[F.col(f"`{c}`") for c in own], F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("_letter"))
 
@@ -119,16 +142,19 @@ def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
         for batch in slices(batches, 1 << 20):
             letter = batch.column("_letter").to_numpy(zero_copy_only=False)
             if model.languages:
-                scores = model.scores(presence(batch.column("text")))
+                texts = presence(batch.column("text"))
+                kernel = model.kernel(texts)
+                scores = model.scores(kernel)
                 best = scores.argmax(axis=1)
                 names = [model.languages[i] if ok else UNKNOWN for i, ok in zip(best, letter)]
                 values = np.where(letter, scores.max(axis=1), 0.0)
+                near = letter & model.near(kernel, texts.sum(axis=1, dtype=np.int64))
             else:
-                names, values = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
+                names, values, near = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows), np.zeros(batch.num_rows, dtype=bool)
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in own], pa.array(names, pa.string()), pa.array(values)], [*own, "lang_pred", "score"])
+                [*[batch.column(c) for c in own], pa.array(names, pa.string()), pa.array(values), pa.array(near)], [*own, "lang_pred", "score", "near"])
 
-    return known.mapInArrow(scored, f"{schema}, lang_pred string, score double")
+    return known.mapInArrow(scored, f"{schema}, lang_pred string, score double, near boolean")
 
 
 def language_id(docs: DataFrame) -> DataFrame:
@@ -142,4 +168,4 @@ def keep_languages(docs: DataFrame) -> DataFrame:
     """Documents in a learned language: those without a letter, or far from all of them, go. The columns are kept."""
     model = fit_languages(docs)
     kept = predict_languages(docs.select(*[F.col(f"`{c}`").alias(f"_{c}") for c in docs.columns], "text"), model)
-    return kept.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= ACCEPTED)).select(*[F.col(f"`_{c}`").alias(c) for c in docs.columns])
+    return kept.where((F.col("lang_pred") != UNKNOWN) & F.col("near")).select(*[F.col(f"`_{c}`").alias(c) for c in docs.columns])

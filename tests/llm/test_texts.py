@@ -58,6 +58,14 @@ def test_filter_keeps_learned_languages(spoken):
     assert kept.columns == spoken.columns and kept.count() == 240
 
 
+def test_filter_rejects_unlearned_languages_and_scripts(spark, spoken):
+    rng = random.Random(9)
+    far = ["".join(rng.choice(letters) for _ in range(n)) for n in (40, 90, 300) for letters in ("pqrst ", "жзийк ", "日本語文 ")]
+    rows = [(1000 + i, t, None, "s", 1) for i, t in enumerate(far)]
+    kept = langid.keep_languages(spoken.unionAll(spark.createDataFrame(rows, spoken.schema)))
+    assert {r["doc_id"] for r in kept.collect()} == set(range(240))
+
+
 def test_presence_is_of_whole_texts():
     texts = ["ab", "xab" * 1000, ""]
     rows = langid.presence(pa.array(texts))
