@@ -81,6 +81,35 @@ def test_one_of_each_group_stays(spark, families):
     assert {r["doc_id"] for r in kept.collect()} == {c for _, _, c in brute(families)}
 
 
+def test_stage_links_four_fifths_of_five_words(spark):
+    """Copies with edits of which three words and 90 % miss many."""
+    import random
+
+    import corpus_pipeline
+
+    rng, rows = random.Random(6), []
+    for f in range(12):
+        own = [f"w{rng.randrange(400)}" for _ in range(rng.choice([30, 80, 150]))]
+        for k in range(6):
+            copy = list(own)
+            for _ in range(k):
+                copy[rng.randrange(len(copy))] = f"edit{rng.randrange(10**6)}"
+            rows.append((f * 10 + k, " ".join(copy)))
+    sets = {i: shingles(t, 5) for i, t in rows}
+    parent = {i: i for i in sets}
+
+    def root(x):
+        return x if parent[x] == x else root(parent[x])
+
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                low, high = sorted((root(a), root(b)))
+                parent[high] = low
+    kept = corpus_pipeline.ngram_jaccard(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert {r["doc_id"] for r in kept.collect()} == {i for i in sets if root(i) == i} != {c for _, _, c in brute(rows)}
+
+
 def test_empty_table(none):
     assert ngram_jaccard(none).collect() == []
 
