@@ -25,6 +25,11 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def row_names() -> list[Column]:
+    """``doc`` and ``row``, which tell rows apart by id and text: a null id is the lowest, and a null text is empty."""
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("doc"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("row")]
+
+
 def numbered(df: DataFrame, order: Sequence[str], name: str, parts: int = 64) -> DataFrame:
     """Adds the row's number from 0 in a global order, nulls last; ranges are numbered side by side.
 

@@ -110,6 +110,17 @@ def test_stage_links_four_fifths_of_five_words(spark):
     assert {r["doc_id"] for r in kept.collect()} == {i for i in sets if root(i) == i} != {c for _, _, c in brute(rows)}
 
 
+def test_rows_that_share_an_id_are_kept_apart(spark):
+    text = [" ".join(f"w{k}x{i}" for i in range(40)) for k in range(6)]
+    rows = [(1, text[0]), (5, text[0]), (5, text[1]), (7, text[1] + " end"), (None, text[2]), (None, text[2] + " end"), (None, text[3]), (8, text[3]),
+            (9, text[4]), (9, text[4]), (None, ""), (None, None), (None, text[5])]
+    kept = [tuple(r) for r in keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    first = [r for r in kept if r[1] and r[1].startswith(text[2])]
+    assert len(first) == 1 and first[0] in rows[4:6]
+    want = [rows[i] for i in (0, 2, 6, 8, 9, 10, 11, 12)] + first
+    assert sorted(map(repr, kept)) == sorted(map(repr, want))
+
+
 def test_empty_table(none):
     assert ngram_jaccard(none).collect() == []
 

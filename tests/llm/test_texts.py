@@ -228,6 +228,21 @@ def test_near_lines_and_what_is_left(spark):
         assert left.get(i, "") == kept if kept.strip() or i not in want else i not in left
 
 
+def test_lines_of_rows_that_share_an_id(spark):
+    rng = random.Random(12)
+    line = ["".join(rng.choice("abcdefgh ") for _ in range(100)) for _ in range(7)]
+    rows = [(None, f"{line[0]}\n{line[1]}"), (None, f"{line[2]}\n{line[0]}"), (None, f"{line[3]}\n{line[4]}"), (None, f"{line[5]}\n{line[1]}"),
+            (3, f"{line[6]}\nx"), (3, f"{line[6]}\ny"), (3, f"{line[6]}\ny")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = line_dedup.without_repeats(docs).collect()
+    once = [x for r in left if r["doc_id"] is None for x in r["text"].split("\n")]
+    assert sorted(once) == sorted(line[:6])
+    assert sorted(x for r in left if r["doc_id"] == 3 for x in r["text"].split("\n") if len(x) < 80) == ["x", "y", "y"]
+    assert len({r["text"] for r in left if line[6] in r["text"]}) == 1
+    found = line_dedup.line_dedup(docs)
+    assert found.count() == 7 and found.where("doc_id IS NULL").agg(F.sum("n_dropped")).first()[0] == 2
+
+
 # --- private data
 
 PRIVATE = ("Dear Mrs. Anna Schmidt, write to Anna.Schmidt@mail.example.com or call +1 (017) 555-7713 190.137.223.204. "
