@@ -129,3 +129,27 @@ def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(1000, 1000 + i) for i in range(1, 50)] + [(5000, 5000), (70, 60)]
     found = {r["id"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {**{i: 0 for i in [*range(61), 70]}, **{1000 + i: 1000 for i in range(50)}}
+
+
+def test_many_copies_ask_few_questions(spark, monkeypatch):
+    """Copies that link with one text and seldom with each other; the pairs compared grow as the copies do. Without
+    that text the result is as right, but nothing tells apart copies that nearly link, so all pairs are compared."""
+    import random
+
+    from statlab.llm import ngram_join
+
+    asked = []
+    compare = ngram_join._jaccard
+    monkeypatch.setattr(ngram_join, "_jaccard", lambda pairs, *a: (asked.append(pairs.count()), compare(pairs, *a))[1])
+    for n, with_original in ((60, False), (100, True), (200, True), (400, True)):
+        rng, asked[:] = random.Random(n), []
+        base = [f"w{k}" for k in range(300)]
+        rows = [(0, " ".join(base))] if with_original else []
+        for i in range(1, n + 1):
+            copy = list(base)
+            for k in rng.sample(range(10, 290), 4):
+                copy[k] = f"edit{i}x{k}"
+            rows.append((i, " ".join(copy)))
+        found = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert sorted((str(r["doc_id"]), r["n_shingles"], r["component_id"]) for r in found) == brute(rows)
+        assert not with_original or sum(asked) <= 4 * n
