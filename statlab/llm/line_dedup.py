@@ -7,7 +7,7 @@ that many edits allows, and only lines whose letters differ that little are pair
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -87,34 +87,46 @@ def _line_names(sums: np.ndarray, down: np.ndarray, start: np.ndarray, length: n
     return mix64((sums[start + length] - sums[start]) * down[start] + length.astype(np.uint64)).view(np.int64)
 
 
-def _occurrences(shortest: int):
+def _hashed(sums: np.ndarray, down: np.ndarray, start: np.ndarray, length: np.ndarray, less: int, i: int, at: np.ndarray, size: np.ndarray, edits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The key of a substring as segment ``i`` of lines ``less`` shorter, and whether it lies inside the line."""
+    inside = (at >= 0) & (at + size <= length)
+    a, size = np.where(inside, start + at, start), np.where(inside, size, 0)
+    part = (sums[a + size] - sums[a]) * down[a]
+    return mix64(part + mix64(((length - less) * (edits + 1) + i).astype(np.uint64))).view(np.int64), inside
+
+
+def _letters(points: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    sums = _letter_sums(points)
+    return ((sums[start + length] - sums[start]) & np.uint64((1 << 60) - 1)).view(np.int64)
+
+
+def _occurrences(shortest: int, edits: int):
+    """Every line with its name, the sum of its letters, and the keys of its segments."""
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1 << 21):
             points, text, number, start, length = _lines(batch, shortest)
-            names = _line_names(*_hashes(points), start, length)
+            sums, down = _hashes(points)
+            keys = np.stack([_hashed(sums, down, start, length, 0, i, s, n, edits)[0] for i, (s, n) in enumerate(segments(length, edits))], axis=1)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(start) + 1, dtype=np.int32) * (edits + 1)), pa.array(keys.reshape(-1)))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).take(pa.array(text)) for c in ("doc", "row")), pa.array(number.astype(np.int32)), pa.array(names)],
-                ["doc", "row", "line", "lid"])
+                [*(batch.column(c).take(pa.array(text)) for c in ("doc", "row")), pa.array(number.astype(np.int32)),
+                 pa.array(_line_names(sums, down, start, length)), pa.array(_letters(points, start, length)), lists],
+                ["doc", "row", "line", "lid", "letters", "keys"])
     return made
 
 
-def _keys(shortest: int, edits: int, indexed: bool):
-    """A row per indexed segment, or per probe, of every line that is the first of its kind in the batch."""
+def _probes(shortest: int, edits: int):
+    """A row per probe of every line that is the first of its kind in the batch."""
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1 << 21):
             points, _, _, start, length = _lines(batch, shortest)
-            (sums, down), letters = _hashes(points), _letter_sums(points)
+            sums, down = _hashes(points)
             names, one = np.unique(_line_names(sums, down, start, length), return_index=True)
             start, length, found = start[one], length[one], []
-            own = ((letters[start + length] - letters[start]) & np.uint64((1 << 60) - 1)).view(np.int64)
-            wanted = ((0, i, s, n) for i, (s, n) in enumerate(segments(length, edits))) if indexed else probes(length, edits)
-            for less, i, at, size in wanted:
-                a = start + at
-                inside = (at >= 0) & (at + size <= length)
-                a, size = np.where(inside, a, start), np.where(inside, size, 0)
-                part = (sums[a + size] - sums[a]) * down[a]
-                key = mix64(part + mix64(((length - less) * (edits + 1) + i).astype(np.uint64)))
-                found.append((key.view(np.int64)[inside], names[inside], own[inside]))
+            own = _letters(points, start, length)
+            for less, i, at, size in probes(length, edits):
+                key, inside = _hashed(sums, down, start, length, less, i, at, size, edits)
+                found.append((key[inside], names[inside], own[inside]))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], ["key", "lid", "letters"])
     return made
@@ -235,6 +247,44 @@ def _place() -> Column:
     return F.struct("doc", "row", "line")
 
 
+def _earlier_neighbours(asked: DataFrame, index: DataFrame, classes: DataFrame, compare: Callable[[DataFrame], DataFrame], edits: int) -> DataFrame:
+    """``lid``: the lines that have an earlier one within ``edits`` edits. ``compare`` returns those of the pairs ``a, b`` that are alike.
+
+    A line needs only one such neighbour. So the lines of each list are first compared with two of it, the earliest and
+    the one whose lists are longest, which in a group of variants is what they are variants of; a list asks twice as many
+    questions as it has lines. Lines for which that found no neighbour are then compared with all earlier ones of their lists.
+    """
+    # Most keys are met by one line alone; only the others go on.
+    alone = index.groupBy("key").agg(F.min("b").alias("low"), F.max("b").alias("high"))
+    probing = asked.join(alone, "key").where((F.col("low") != F.col("a")) | (F.col("high") != F.col("a")))
+    probing = stage(probing.select("key", F.col("a").alias("lid"), F.col("a_sum").alias("sum")), "probing")
+    keys = stage(probing.select("key").distinct(), "live-keys")
+    held = stage(index.join(keys, "key", "left_semi").select("key", F.col("b").alias("lid"), F.col("b_sum").alias("sum")), "held")
+    members = probing.select("key", "lid", F.lit(False).alias("held")).unionAll(held.select("key", "lid", F.lit(True).alias("held")))
+    sizes = stage(members.groupBy("key").agg(F.count("*").alias("size")), "list-sizes")
+    met = members.select("key", "lid").distinct().join(sizes, "key").groupBy("lid").agg(F.sum("size").alias("met"))
+    known = stage(met.join(classes.select("lid", "first"), "lid"), "known-lines")
+    probing, held = (stage(side.join(known, "lid"), "placed") for side in (probing, held))
+
+    def pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+        """Pairs across a list of which the one from ``right`` is earlier; ``a`` is the later line."""
+        one = left.select("key", F.col("lid").alias("a"), F.col("sum").alias("a_sum"), F.col("first").alias("a_first"))
+        two = right.select("key", F.col("lid").alias("b"), F.col("sum").alias("b_sum"), F.col("first").alias("b_first"))
+        return one.join(two, "key").where((F.col("b_first") < F.col("a_first")) & _may_be_near(edits)).select("a", "b")
+
+    def heads(side: DataFrame) -> DataFrame:
+        each = F.struct("lid", "sum", "first")
+        best = side.groupBy("key").agg(F.min_by(each, "first").alias("early"), F.max_by(each, F.struct("met", "lid")).alias("central"))
+        return stage(best.select("key", F.explode(F.array_distinct(F.array("early", "central"))).alias("h")).select("key", "h.*"), "heads")
+
+    first_asked = stage(pairs(probing, heads(held)).unionAll(pairs(held, heads(probing))).distinct(), "first-asked")
+    decided = stage(compare(first_asked).select(F.col("a").alias("lid")).distinct(), "decided")
+    open_probing, open_held = (stage(side.join(decided, "lid", "left_anti"), "open") for side in (probing, held))
+    rest = pairs(open_probing, held).unionAll(pairs(open_held, probing)).distinct()
+    rest = stage(rest.join(first_asked, ["a", "b"], "left_anti"), "rest-asked")
+    return decided.unionAll(compare(rest).select(F.col("a").alias("lid")).distinct())
+
+
 def repeated_lines(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -> DataFrame:
     """``doc_id, row, dropped``: the numbers (from 0) of each document's lines that repeat an earlier line.
 
@@ -245,29 +295,28 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST
     Documents without repeats are not returned.
     """
     known = docs.select(*row_names(), "text")
-    lines = stage(known.mapInArrow(_occurrences(shortest), "doc long, row long, line int, lid long"), "lines")
-    classes = stage(lines.groupBy("lid").agg(F.min(_place()).alias("first"), F.count("*").alias("n")), "classes")
-    kinds = "key long, lid long, letters long"
-    index = known.mapInArrow(_keys(shortest, edits, True), kinds).toDF("key", "b", "b_sum")
-    asked = known.mapInArrow(_keys(shortest, edits, False), kinds).toDF("key", "a", "a_sum")
-    near = asked.join(index, "key").where((F.col("a") != F.col("b")) & _may_be_near(edits))
-    met = stage(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "met")
-    wanted = stage(met.select(F.explode(F.array("a", "b")).alias("lid")).distinct(), "wanted")
-    owners = wanted.join(classes, "lid").select("lid", "first.doc", "first.row", "first.line").groupBy("doc", "row").agg(
-        F.collect_list(F.struct("line", "lid")).alias("asked"))
+    lines = stage(known.mapInArrow(_occurrences(shortest, edits), "doc long, row long, line int, lid long, letters long, keys array<long>"), "lines")
+    same = [F.first(c).alias(c) for c in ("letters", "keys")]
+    classes = stage(lines.groupBy("lid").agg(F.min(_place()).alias("first"), F.count("*").alias("n"), *same), "classes")
+    index = classes.select(F.explode("keys").alias("key"), F.col("lid").alias("b"), F.col("letters").alias("b_sum"))
+    asked = known.mapInArrow(_probes(shortest, edits), "key long, lid long, letters long").toDF("key", "a", "a_sum")
     packed = known.mapInArrow(_packed, "doc long, row long, packed binary")
-    # As many owners as there are candidates, which grow with the table: merged at every size, never sent to all tasks.
-    texts = packed.join(stage(owners, "owners").hint("merge"), ["doc", "row"]).mapInArrow(_contents, "lid long, content string")
-    texts = stage(texts.groupBy("lid").agg(F.first("content").alias("content")), "contents")
-    pairs = met.join(texts.select(F.col("lid").alias("a"), F.col("content").alias("x")), "a")
-    pairs = pairs.join(texts.select(F.col("lid").alias("b"), F.col("content").alias("y")), "b").select("a", "b", "x", "y")
-    alike = stage(pairs.mapInArrow(_verified(edits), "a long, b long"), "alike")
-    both = alike.unionAll(alike.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    earlier = both.join(classes.select(F.col("lid").alias("b"), F.col("first").alias("before")), "b")
-    earlier = stage(earlier.groupBy("a").agg(F.min("before").alias("before")).withColumnRenamed("a", "lid"), "earlier")
-    judged = classes.join(earlier, "lid", "left").withColumn("later", F.coalesce(F.col("before") < F.col("first"), F.lit(False)))
+
+    def compare(met: DataFrame) -> DataFrame:
+        wanted = stage(met.select("a").unionAll(met.select("b")).distinct().withColumnRenamed("a", "lid"), "wanted")
+        owners = wanted.join(classes.select("lid", "first"), "lid").select("lid", "first.doc", "first.row", "first.line").groupBy("doc", "row").agg(
+            F.collect_list(F.struct("line", "lid")).alias("asked"))
+        # As many owners as there are candidates, which grow with the table: merged at every size, never sent to all tasks.
+        texts = packed.join(stage(owners, "owners").hint("merge"), ["doc", "row"]).mapInArrow(_contents, "lid long, content string")
+        texts = stage(texts.groupBy("lid").agg(F.first("content").alias("content")), "contents")
+        pairs = met.join(texts.select(F.col("lid").alias("a"), F.col("content").alias("x")), "a")
+        pairs = pairs.join(texts.select(F.col("lid").alias("b"), F.col("content").alias("y")), "b").select("a", "b", "x", "y")
+        return pairs.mapInArrow(_verified(edits), "a long, b long")
+
+    later = stage(_earlier_neighbours(asked, index, classes, compare, edits).distinct().withColumn("later", F.lit(True)), "later")
+    judged = classes.select("lid", "first", "n").join(later, "lid", "left").withColumn("later", F.coalesce("later", F.lit(False)))
     judged = stage(judged.where("later OR n > 1").select("lid", "later", "first"), "judged")
-    out = lines.join(judged, "lid").where(F.col("later") | (_place() != F.col("first")))
+    out = lines.select("doc", "row", "line", "lid").join(judged, "lid").where(F.col("later") | (_place() != F.col("first")))
     out = out.groupBy("doc", "row").agg(F.sort_array(F.collect_set("line")).alias("dropped"))
     return out.select(F.nullif(F.col("doc"), F.lit(LOWEST)).alias("doc_id"), "row", "dropped")
 
