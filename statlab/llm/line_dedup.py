@@ -20,6 +20,8 @@ from statlab.session import stage
 
 #: Edits within which lines are alike, and the length (code points) from which lines are compared at all.
 EDITS, SHORTEST = 2, 80
+#: Letters between the places at which the beginnings of lines are summed up.
+STEP = 8
 
 
 def segments(length: np.ndarray, edits: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -76,13 +78,19 @@ def _letter_sums(points: np.ndarray) -> np.ndarray:
     return sums
 
 
-def _may_be_near(edits: int) -> Column:
-    """An edit changes the letter sum by at most two powers of 16. A difference of more non-zero signed digits than
-    that is of lines farther apart; one more digit is allowed for the modulus."""
-    apart = F.col("a_sum") - F.col("b_sum")
+def _near_sums(a: Column, b: Column, edits: int) -> Column:
+    """An edit changes the letter sum of a line, and of its first so many letters, by at most two powers of 16. A
+    difference of more non-zero signed digits than that is of lines farther apart; one more is allowed for the modulus."""
+    apart = a - b
     return F.bit_count(apart.bitwiseXOR(apart * 3)) <= 2 * edits + 1
 
 
+def _may_be_near(edits: int) -> Column:
+    """Whether the sums of two lines, and those of their beginnings as far as both go, allow so few edits."""
+    begun = F.forall(F.zip_with("a_begun", "b_begun", lambda a, b: F.coalesce(_near_sums(a, b, edits), F.lit(True))), lambda x: x)
+    return _near_sums(F.col("a_sum"), F.col("b_sum"), edits) & begun
+
+
 def _line_names(sums: np.ndarray, down: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     return mix64((sums[start + length] - sums[start]) * down[start] + length.astype(np.uint64)).view(np.int64)
 
@@ -126,9 +134,9 @@ def _probes(shortest: int, edits: int):
             own = _letters(points, start, length)
             for less, i, at, size in probes(length, edits):
                 key, inside = _hashed(sums, down, start, length, less, i, at, size, edits)
-                found.append((key[inside], names[inside], own[inside]))
+                found.append((key[inside], names[inside], own[inside], np.full(int(inside.sum()), less > 0)))
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], ["key", "lid", "letters"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], ["key", "lid", "letters", "shorter"])
     return made
 
 
@@ -140,7 +148,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The lines asked for, by number, of packed texts."""
+    """The lines asked for, by number, of packed texts, and the letter sums of every STEP letters of their beginnings."""
     open_ = zstandard.ZstdDecompressor()
     for whole in batches:
         for start in range(0, whole.num_rows, 256):
@@ -155,7 +163,12 @@ def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             length = np.array([len(x) for x in lines], dtype=np.int64)
             begin = np.cumsum(length) - length
             same = _line_names(*_hashes(points), begin, length) == np.array(names, dtype=np.int64)
-            found = pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(lines, pa.string())], ["lid", "content"])
+            sums = _letter_sums(points)
+            parts = length // STEP
+            at = np.repeat(begin, parts) + (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts) + 1) * STEP
+            begun = ((sums[at] - sums[np.repeat(begin, parts)]) & np.uint64((1 << 60) - 1)).view(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(parts)]).astype(np.int32)), pa.array(begun))
+            found = pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(lines, pa.string()), lists], ["lid", "content", "begun"])
             yield found.filter(pa.array(same))
 
 
@@ -247,8 +260,8 @@ def _place() -> Column:
     return F.struct("doc", "row", "line")
 
 
-def _earlier_neighbours(asked: DataFrame, index: DataFrame, classes: DataFrame, compare: Callable[[DataFrame], DataFrame], edits: int) -> DataFrame:
-    """``lid``: the lines that have an earlier one within ``edits`` edits. ``compare`` returns those of the pairs ``a, b`` that are alike.
+def _earlier_neighbours(asked: DataFrame, index: DataFrame, classes: DataFrame, contents: Callable[[DataFrame], DataFrame], edits: int) -> DataFrame:
+    """``lid``: the lines that have an earlier one within ``edits`` edits. ``contents`` reads lines by ``lid, first``.
 
     A line needs only one such neighbour. So the lines of each list are first compared with two of it, the earliest and
     the one whose lists are longest, which in a group of variants is what they are variants of; a list asks twice as many
@@ -257,30 +270,39 @@ def _earlier_neighbours(asked: DataFrame, index: DataFrame, classes: DataFrame,
     # Most keys are met by one line alone; only the others go on.
     alone = index.groupBy("key").agg(F.min("b").alias("low"), F.max("b").alias("high"))
     probing = asked.join(alone, "key").where((F.col("low") != F.col("a")) | (F.col("high") != F.col("a")))
-    probing = stage(probing.select("key", F.col("a").alias("lid"), F.col("a_sum").alias("sum")), "probing")
+    probing = stage(probing.select("key", F.col("a").alias("lid"), F.col("a_sum").alias("sum"), "shorter"), "probing")
     keys = stage(probing.select("key").distinct(), "live-keys")
     held = stage(index.join(keys, "key", "left_semi").select("key", F.col("b").alias("lid"), F.col("b_sum").alias("sum")), "held")
     members = probing.select("key", "lid", F.lit(False).alias("held")).unionAll(held.select("key", "lid", F.lit(True).alias("held")))
     sizes = stage(members.groupBy("key").agg(F.count("*").alias("size")), "list-sizes")
     met = members.select("key", "lid").distinct().join(sizes, "key").groupBy("lid").agg(F.sum("size").alias("met"))
     known = stage(met.join(classes.select("lid", "first"), "lid"), "known-lines")
+    texts = stage(contents(known.select("lid", "first")), "contents")
+    known = known.join(texts.select("lid", "begun"), "lid")
     probing, held = (stage(side.join(known, "lid"), "placed") for side in (probing, held))
 
     def pairs(left: DataFrame, right: DataFrame) -> DataFrame:
         """Pairs across a list of which the one from ``right`` is earlier; ``a`` is the later line."""
-        one = left.select("key", F.col("lid").alias("a"), F.col("sum").alias("a_sum"), F.col("first").alias("a_first"))
-        two = right.select("key", F.col("lid").alias("b"), F.col("sum").alias("b_sum"), F.col("first").alias("b_first"))
+        one = left.select("key", F.col("lid").alias("a"), F.col("sum").alias("a_sum"), F.col("begun").alias("a_begun"), F.col("first").alias("a_first"))
+        two = right.select("key", F.col("lid").alias("b"), F.col("sum").alias("b_sum"), F.col("begun").alias("b_begun"), F.col("first").alias("b_first"))
         return one.join(two, "key").where((F.col("b_first") < F.col("a_first")) & _may_be_near(edits)).select("a", "b")
 
     def heads(side: DataFrame) -> DataFrame:
-        each = F.struct("lid", "sum", "first")
+        each = F.struct("lid", "sum", "begun", "first")
         best = side.groupBy("key").agg(F.min_by(each, "first").alias("early"), F.max_by(each, F.struct("met", "lid")).alias("central"))
         return stage(best.select("key", F.explode(F.array_distinct(F.array("early", "central"))).alias("h")).select("key", "h.*"), "heads")
 
-    first_asked = stage(pairs(probing, heads(held)).unionAll(pairs(held, heads(probing))).distinct(), "first-asked")
+    def compare(met: DataFrame) -> DataFrame:
+        pairs = met.join(texts.select(F.col("lid").alias("a"), F.col("content").alias("x")), "a")
+        pairs = pairs.join(texts.select(F.col("lid").alias("b"), F.col("content").alias("y")), "b").select("a", "b", "x", "y")
+        return pairs.mapInArrow(_verified(edits), "a long, b long")
+
+    # Lines of one length probe each other, so one direction is enough for them; a longer earlier one probes a later one.
+    longer = probing.where("shorter")
+    first_asked = stage(pairs(probing, heads(held)).unionAll(pairs(held, heads(longer))).distinct(), "first-asked")
     decided = stage(compare(first_asked).select(F.col("a").alias("lid")).distinct(), "decided")
     open_probing, open_held = (stage(side.join(decided, "lid", "left_anti"), "open") for side in (probing, held))
-    rest = pairs(open_probing, held).unionAll(pairs(open_held, probing)).distinct()
+    rest = pairs(open_probing, held).unionAll(pairs(open_held, longer)).distinct()
     rest = stage(rest.join(first_asked, ["a", "b"], "left_anti"), "rest-asked")
     return decided.unionAll(compare(rest).select(F.col("a").alias("lid")).distinct())
 
@@ -299,21 +321,16 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST
     same = [F.first(c).alias(c) for c in ("letters", "keys")]
     classes = stage(lines.groupBy("lid").agg(F.min(_place()).alias("first"), F.count("*").alias("n"), *same), "classes")
     index = classes.select(F.explode("keys").alias("key"), F.col("lid").alias("b"), F.col("letters").alias("b_sum"))
-    asked = known.mapInArrow(_probes(shortest, edits), "key long, lid long, letters long").toDF("key", "a", "a_sum")
+    asked = known.mapInArrow(_probes(shortest, edits), "key long, lid long, letters long, shorter boolean").toDF("key", "a", "a_sum", "shorter")
     packed = known.mapInArrow(_packed, "doc long, row long, packed binary")
 
-    def compare(met: DataFrame) -> DataFrame:
-        wanted = stage(met.select("a").unionAll(met.select("b")).distinct().withColumnRenamed("a", "lid"), "wanted")
-        owners = wanted.join(classes.select("lid", "first"), "lid").select("lid", "first.doc", "first.row", "first.line").groupBy("doc", "row").agg(
-            F.collect_list(F.struct("line", "lid")).alias("asked"))
+    def contents(wanted: DataFrame) -> DataFrame:
+        owners = wanted.select("lid", "first.doc", "first.row", "first.line").groupBy("doc", "row").agg(F.collect_list(F.struct("line", "lid")).alias("asked"))
         # As many owners as there are candidates, which grow with the table: merged at every size, never sent to all tasks.
-        texts = packed.join(stage(owners, "owners").hint("merge"), ["doc", "row"]).mapInArrow(_contents, "lid long, content string")
-        texts = stage(texts.groupBy("lid").agg(F.first("content").alias("content")), "contents")
-        pairs = met.join(texts.select(F.col("lid").alias("a"), F.col("content").alias("x")), "a")
-        pairs = pairs.join(texts.select(F.col("lid").alias("b"), F.col("content").alias("y")), "b").select("a", "b", "x", "y")
-        return pairs.mapInArrow(_verified(edits), "a long, b long")
+        texts = packed.join(stage(owners, "owners").hint("merge"), ["doc", "row"]).mapInArrow(_contents, "lid long, content string, begun array<long>")
+        return texts.groupBy("lid").agg(F.first("content").alias("content"), F.first("begun").alias("begun"))
 
-    later = stage(_earlier_neighbours(asked, index, classes, compare, edits).distinct().withColumn("later", F.lit(True)), "later")
+    later = stage(_earlier_neighbours(asked, index, classes, contents, edits).distinct().withColumn("later", F.lit(True)), "later")
     judged = classes.select("lid", "first", "n").join(later, "lid", "left").withColumn("later", F.coalesce("later", F.lit(False)))
     judged = stage(judged.where("later OR n > 1").select("lid", "later", "first"), "judged")
     out = lines.select("doc", "row", "line", "lid").join(judged, "lid").where(F.col("later") | (_place() != F.col("first")))
