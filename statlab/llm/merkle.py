@@ -89,15 +89,17 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
     """The fingerprint of each whole text and of its edit, a row per document; a null text is empty.
 
     The edit replaces the last half by the beginning of the next document (``with_next``); an empty table gives none.
+    Only texts travel: clauses, the next document's too, are digested after the rows have moved.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    known = docs.select("doc_id", text.alias("text")).withColumn("clauses", leaves(F.col("text")))
-    paired = with_next(known, ["text", "clauses"])
+    paired = with_next(docs.select("doc_id", text.alias("text")), ["text"])
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next.text"), F.lit(1), half))
-    made = paired.select("doc_id", "text", "clauses", n.cast("long").alias("n_chars"), edited.alias("edited"), F.col("next.clauses").alias("others"))
-    made = made.select("*", leaves(F.col("edited")).alias("edited_clauses"), sections(F.col("text")).alias("tree"), sections(F.col("edited")).alias("edited_tree"))
+    made = paired.select("doc_id", "text", F.col("next.text").alias("other"), n.cast("long").alias("n_chars"), edited.alias("edited"))
+    made = made.select(
+        "doc_id", "n_chars", "edited", leaves(F.col("text")).alias("clauses"), leaves(F.col("other")).alias("others"),
+        leaves(F.col("edited")).alias("edited_clauses"), sections(F.col("text")).alias("tree"), sections(F.col("edited")).alias("edited_tree"))
     return made.select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         fingerprint(F.col("tree"), F.col("clauses")).alias("fingerprint"),
