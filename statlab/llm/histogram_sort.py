@@ -6,18 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-BITS, LEVELS = 12, 4
+from statlab.session import stage
+
+BITS, LEVELS = 12, 5
 FAN = 1 << BITS
 #: A range with more than this share of the rows is cut further, so that no task numbers a hot group alone.
 HOT_SHARE = 512
 
 
 def _codes(text: Column, key: Column) -> list[Column]:
-    """The sort key at each precision: 12 and 24 bits of the text's hash, then 12 and 24 bits of the row's key."""
+    """The sort key at each precision: 12 and 24 bits of the text's hash, 12 and 24 bits of the row's key, a place in a run of equal rows."""
     h, tie = F.xxhash64(text), F.xxhash64(key, F.lit("tie"))
     digits = [
         F.shiftrightunsigned(h, 64 - BITS), F.shiftrightunsigned(h, 64 - 2 * BITS) % FAN,
         F.shiftrightunsigned(tie, 64 - BITS), F.shiftrightunsigned(tie, 64 - 2 * BITS) % FAN,
+        F.col("_run"),
     ]
     codes = [digits[0]]
     for d in digits[1:]:
@@ -52,16 +55,22 @@ def histogram_sort(
     the ranges where a splitter still misses its target by more than ``tolerance`` of a shard, or that hold more
     than 1/512 of the rows, are counted again at 4096 times the precision. To the driver come counts per range.
     The rows then move once, to their range; ``shard`` and the first slot of a range are looked up.
-    A null text has size 1; null keys are ordered by the text alone; rows equal in text and key share a shard.
-    Columns of these names in the input are replaced.
+    What is still too heavy then is a run of rows equal in text and key. Its rows are written with a random place out of
+    4096 and cut by these, so a run may be shared by shards; which of its rows go where follows the order of the input.
+    A null text has size 1; null keys are ordered by the text alone. Columns of these names in the input are replaced,
+    and those beginning with ``_run``, ``_range``, ``_first``, ``_h`` or ``_tie`` must not be there.
     """
     spark = docs.sparkSession
-    own = docs.drop("size", "shard", "slot")
+    own = docs.drop("size", "shard", "slot").withColumn("_run", F.lit(0).cast("long"))
     size = F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long") + 1
     codes = _codes(F.col(text), F.col(key))
     opened: list[list[int]] = []
     bins: dict[int, tuple[int, int]] = {}
     for level in range(LEVELS):
+        if level == LEVELS - 1:
+            run = codes[level - 1].isin(opened[-1])
+            place = F.shiftrightunsigned(F.xxhash64(F.monotonically_increasing_id()), 64 - BITS)
+            own = own.where(~run).unionByName(stage(own.where(run).withColumn("_run", place), "runs"))
         counted = own.select(size.alias("size"), *[c.alias(f"c{i}") for i, c in enumerate(codes[:level + 1])])
         if level:
             counted = counted.where(F.col(f"c{level - 1}").isin(opened[-1]))
@@ -95,7 +104,7 @@ def histogram_sort(
     })
     within = Window.partitionBy("_range").orderBy("_h", "_tie", "size")
     placed = keyed.join(ranges, "_range").withColumn("slot", F.col("_first") + F.row_number().over(within) - 1)
-    return placed.drop("_range", "_first", "_h", "_tie")
+    return placed.drop("_run", "_range", "_first", "_h", "_tie")
 
 
 def write_shards(sharded: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -45,3 +45,12 @@ def test_empty_table_and_files(spark, odd, none, tmp_path):
     assert sharding(none).collect() == []
     write_shards(histogram_sort(odd), str(tmp_path / "shards"))
     assert spark.read.parquet(str(tmp_path / "shards")).count() == odd.count()
+
+
+def test_bytes_are_near_equal_where_rows_repeat(spark):
+    for key in (7, None):
+        rows = [(key, "one row, again and again")] * 800 + [(i, f"text {i} of its own, no. {i}") for i in range(1200)]
+        found = histogram_sort(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+        sizes = check_law(found)
+        mean = sum(sizes.values()) / 8
+        assert len(found) == 2000 and len(sizes) == 8 and all(abs(s - mean) < 0.02 * mean for s in sizes.values())
