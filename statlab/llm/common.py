@@ -147,8 +147,8 @@ def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def slices(batches, most_bytes: int = 1 << 20, column: str = "text"):
-    """Record batches cut so that a piece holds about ``most_bytes`` of text, or a single row."""
+def slices(batches, most_bytes: int = 1 << 20, column: str = "text", most_rows: int | None = None):
+    """Record batches cut so that a piece holds about ``most_bytes`` of text, or a single row, and at most ``most_rows``."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -156,6 +156,6 @@ def slices(batches, most_bytes: int = 1 << 20, column: str = "text"):
         start = 0
         while start < batch.num_rows:
             end = int(np.searchsorted(offsets, offsets[start] + most_bytes, side="right")) - 1
-            end = min(max(end, start + 1), batch.num_rows)
+            end = min(max(end, start + 1), batch.num_rows, start + (most_rows or batch.num_rows))
             yield batch.slice(start, end - start)
             start = end

@@ -21,6 +21,8 @@ from statlab.session import stage
 
 #: Places n-grams are hashed to, the longest n-gram, texts learned from and landmarks, each per language at most.
 PLACES, LONGEST, LEARNED, LANDMARKS = 1 << 14, 4, 600, 24
+#: Texts whose n-grams are held at a time, which bounds the memory of a worker on short texts.
+HELD = 512
 RIDGE = 1e-4
 UNKNOWN = "und"
 #: The part of the learned texts that may lie farther off than its bounds say.
@@ -86,7 +88,7 @@ def _sample(docs: DataFrame, learned: int) -> DataFrame:
 
 
 def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, 1 << 20):
+    for batch in slices(batches, 1 << 20, most_rows=HELD):
         packed = np.packbits(presence(batch.column("text")), axis=1)
         yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array([p.tobytes() for p in packed], pa.binary())], ["lang", "bits"])
 
@@ -106,7 +108,7 @@ def fit_languages(docs: DataFrame, learned: int = LEARNED, landmarks: int = LAND
     model.landmarks = np.stack([np.frombuffer(r["bits"], np.uint8) for r in sorted(marks, key=lambda r: (r["lang"], r["bits"]))])
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1 << 20):
+        for batch in slices(batches, 1 << 20, most_rows=HELD):
             texts = presence(batch.column("text"))
             values = pa.array(list(model.kernel(texts)), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch.column("lang"), values, pa.array(texts.sum(axis=1, dtype=np.int64))], ["lang", "values", "size"])
@@ -139,7 +141,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     known = docs.select(*[F.col(f"`{c}`") for c in own], F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("_letter"))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1 << 20):
+        for batch in slices(batches, 1 << 20, most_rows=HELD):
             letter = batch.column("_letter").to_numpy(zero_copy_only=False)
             if model.languages:
                 texts = presence(batch.column("text"))
