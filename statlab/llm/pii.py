@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from statlab.llm.common import slices
 from statlab.session import stage
 
-ROUNDS = 40
+#: A surrogate grows by a character after so many attempts, so that small spaces do not run out.
+GROWS = 4
 FEMALE, MALE, EITHER = "f", "m", "e"
 
 # Titles that are followed by a name, and the gender they tell.
@@ -43,7 +44,7 @@ ENDINGS = {
     "GREEK": {MALE: ["ς", "ος", "ης"], FEMALE: ["να", "ρία", "λη"], EITHER: ["ου", "κη", "δου"]},
 }
 
-EMAIL = regex.compile(r"[\p{L}\p{N}._%+\-]+@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)+")
+EMAIL = regex.compile(r"(?:\G|(?<![\p{L}\p{N}._%+\-]))[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)+")
 SECRET = re.compile(r"(?<![A-Za-z0-9_\-])(?=[A-Za-z_\-]*\d)(?=[\d_\-]*[A-Za-z])[A-Za-z0-9_\-]{24,}(?![A-Za-z0-9_\-])")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 ADDRESS = re.compile(r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)")
@@ -53,7 +54,7 @@ DATE = re.compile(r"\d{4}[.\-]\d{1,2}[.\-]\d{1,2}|\d{1,2}[.\-]\d{1,2}[.\-](?:\d{
 NAME = regex.compile(
     r"(?<!\p{L})(?P<title>" + "|".join(sorted(TITLES, key=len, reverse=True))
     + r")\.?[  ](?P<one>\p{Lu}[\p{L}'’\-]+)(?:[  ](?P<two>\p{Lu}[\p{L}'’\-]+))?")
-HINT = regex.compile(r"[0-9@]|" + "|".join(sorted(TITLES, key=len, reverse=True)))
+HINT = regex.compile(r"[\d@]|" + "|".join(sorted(TITLES, key=len, reverse=True)))
 
 Found = tuple[int, int, str, str]
 
@@ -95,8 +96,11 @@ def detect(text: str | None) -> list[Found]:
     for kind, pattern, norm in PATTERNS:  # in order of precedence; what was found is blanked out for the kinds below
         own = [(m.start(), m.end(), kind, n) for m in pattern.finditer(rest) if (n := norm(m[0])) is not None]
         found += own
+        parts, at = [], 0
         for start, end, _, _ in own:
-            rest = rest[:start] + "\0" * (end - start) + rest[end:]
+            parts += [rest[at:start], "\0" * (end - start)]
+            at = end
+        rest = "".join([*parts, rest[at:]])
     return sorted(found + list(_names(rest)))
 
 
@@ -168,24 +172,27 @@ def _alike(text: str, draw: Stream, letters: str = "abcdefghijklmnopqrstuvwxyz")
 
 
 def surrogate(key: bytes, kind: str, norm: str, attempt: int) -> str:
-    """The normal form of an entity's surrogate: the same kind, length and check digits, and for names script and gender."""
-    draw = Stream(key, kind, norm, attempt)
+    """The normal form of an entity's surrogate: the same kind, length and check digits, and for names script and gender.
+
+    From the fifth attempt on it is longer, or an address of any network, since there may be no free one of its length.
+    """
+    draw, more = Stream(key, kind, norm, attempt), attempt // GROWS
     if kind == "email":
         local, _, domain = norm.partition("@")
         labels = domain.split(".")
-        return _alike(local, draw) + "@" + ".".join([*(_alike(x, draw) for x in labels[:-1]), labels[-1]])
+        return _alike(local + "a" * more, draw) + "@" + ".".join([*(_alike(x, draw) for x in labels[:-1]), labels[-1]])
     if kind == "secret":
         hexadecimal = all(c.lower() in "abcdef" for c in norm if c.isalpha())
-        return _alike(norm, draw, "abcdef" if hexadecimal else "abcdefghijklmnopqrstuvwxyz")
+        return _alike(norm + "a" * more, draw, "abcdef" if hexadecimal else "abcdefghijklmnopqrstuvwxyz")
     if kind == "iban":
-        rest = "".join(str(draw.below(10)) if c.isdigit() else draw.pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for c in norm[4:])
+        rest = "".join(str(draw.below(10)) if c.isdigit() else draw.pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for c in norm[4:] + "0" * more)
         return f"{norm[:2]}{98 - _iban_rest(norm[:2] + '00' + rest):02d}{rest}"
     if kind == "address":
         octets = norm.split(".")
-        kept = 1 if octets[0] in ("10", "127") else 2 if octets[:2] == ["192", "168"] else 0
+        kept = 0 if more else 1 if octets[0] in ("10", "127") else 2 if octets[:2] == ["192", "168"] else 0
         return ".".join([*octets[:kept], *(str(1 + draw.below(254)) for _ in octets[kept:])])
     if kind in ("number", "phone"):
-        made = norm[0] + "".join(str(draw.below(10)) for _ in norm[1:])
+        made = norm[0] + "".join(str(draw.below(10)) for _ in norm[1:] + "0" * more)
         if kind == "number" and len(norm) > 9 and _luhn(norm) == 0:
             made = next(made[:-1] + d for d in "0123456789" if _luhn(made[:-1] + d) == 0)
         return made
@@ -199,16 +206,15 @@ def surrogate(key: bytes, kind: str, norm: str, attempt: int) -> str:
 
 def fitted(mention: str, kind: str, made: str) -> str:
     """A surrogate in the format of one mention."""
-    if kind in ("number", "phone"):
-        rest = iter(made)
-        return "".join(next(rest) if c.isdigit() else c for c in mention)
-    if kind == "iban":
+    if kind in ("number", "phone", "iban"):
         rest = iter(made)
-        return "".join(c if c == " " else next(rest) for c in mention)
+        taken = [next(rest) if (c != " " if kind == "iban" else c.isdigit()) else c for c in mention]
+        return "".join([*taken, *rest])
     if kind.startswith(("given", "surname")):
         return made.upper() if mention.isupper() and len(mention) > 1 else made[:1].upper() + made[1:]
     if kind == "email":
-        return "".join(n.upper() if c.isupper() else n for c, n in zip(mention, made))
+        pairs = zip(mention.split("@"), made.split("@"))
+        return "@".join("".join(n.upper() if c.isupper() else n for c, n in zip(old.ljust(len(new)), new)) for old, new in pairs)
     return made
 
 
@@ -244,15 +250,15 @@ def assign_surrogates(entities: DataFrame, key: str, draw=None) -> DataFrame:
     """``kind, norm, made`` for the distinct entities ``kind, norm``: no two of a kind share a surrogate, and none is real.
 
     All are drawn; of those that meet, the one drawn first keeps it (on a tie the smaller normal form) and the others
-    are drawn again with the next attempt, as are those that are some entity's normal form. Only the number left comes
-    to the driver. ``draw`` replaces the drawing function, for tests.
+    are drawn again with the next attempt, as are those that are some entity's normal form. Surrogates grow with the attempts,
+    so this ends (for addresses, unless nearly all that there can be are in the texts). One row comes to the driver a round. ``draw`` replaces the drawing function, for tests.
     """
     schema = "kind string, norm string, attempt int, made string"
     draw = draw or _drawn(key.encode())
     real = stage(entities.select("kind", "norm").distinct(), "entities")
     taken = real.select("kind", F.col("norm").alias("made"))
     settled = stage(real.withColumn("attempt", F.lit(0)).mapInArrow(draw, schema), "drawn")
-    for _ in range(ROUNDS):
+    while True:
         first = settled.groupBy("kind", "made").agg(F.min(F.struct("attempt", "norm")).alias("first"), F.count("*").alias("n"))
         crowded = stage(first.where("n > 1").select("kind", "made", "first"), "crowded")
         judged = settled.join(crowded, ["kind", "made"], "left")
@@ -264,7 +270,6 @@ def assign_surrogates(entities: DataFrame, key: str, draw=None) -> DataFrame:
             return judged.select("kind", "norm", "made")
         redrawn = left.select("kind", "norm", (F.col("attempt") + 1).alias("attempt")).mapInArrow(draw, schema)
         settled = stage(judged.where("NOT again").drop("again").unionByName(redrawn), "drawn")
-    raise RuntimeError("surrogates still collide")
 
 
 def _replaced(names: list[str]):

@@ -291,3 +291,45 @@ def test_collisions_are_drawn_again(spark):
     entities = spark.createDataFrame([("k", n) for n in names] * 3, "kind string, norm string")
     found = {r["norm"]: r["made"] for r in pii.assign_surrogates(entities, "x", spread).collect()}
     assert sorted(found) == sorted(names) and len(set(found.values())) == 25 and not set(found.values()) & set(names)
+
+
+def test_surrogates_of_a_full_space(spark):
+    import string
+
+    short = [f"{a}@{b}.de" for a in string.ascii_lowercase for b in string.ascii_lowercase]
+    entities = spark.createDataFrame([("email", x) for x in short], "kind string, norm string")
+    found = {r["norm"]: r["made"] for r in pii.assign_surrogates(entities, "x").collect()}
+    assert set(found) == set(short) and len(set(found.values())) == len(short) and not set(found.values()) & set(short)
+    assert all(re.fullmatch(r"[a-z]+@[a-z]\.de", x) for x in found.values())
+
+
+def test_grown_surrogates_keep_the_format():
+    assert re.fullmatch(r"[A-Z][a-z]{2}@[a-z]\.de", pii.fitted("A@b.de", "email", pii.surrogate(b"k", "email", "a@b.de", 8)))
+    assert re.fullmatch(r"\d{3}-\d{6}", pii.fitted("555-1234", "phone", pii.surrogate(b"k", "phone", "5551234", 8)))
+    assert pii._iban_rest(pii.surrogate(b"k", "iban", "DE89370400440532013000", 8)) == 1
+    assert pii._luhn(pii.surrogate(b"k", "number", "4111111111111111", 8)) == 0
+
+
+def test_long_runs_of_letters_are_read_once():
+    import time
+
+    begin = time.monotonic()
+    assert pii.detect("1" + "a" * 1_000_000) == [(0, 1_000_001, "secret", "1" + "a" * 1_000_000)]
+    many = " ".join(f"user{i}@example.org" for i in range(20_000))
+    assert len(pii.detect(many)) == 20_000
+    assert time.monotonic() - begin < 20
+    assert [x[3] for x in pii.detect("x@y.de_z@w.com a@b@c.de")] == ["x@y.de", "_z@w.com", "b@c.de"]
+
+
+def test_digits_of_other_scripts_are_a_hint():
+    assert [x[2:] for x in pii.detect("\u0660\u0661\u0662 \u0663\u0664\u0665 \u0666\u0667\u0668\u0669")] == [("phone", "0123456789")]
+
+
+def test_slices_are_bounded_by_rows():
+    import pyarrow as pa
+
+    from statlab.llm.common import slices
+
+    batch = pa.record_batch({"text": ["short"] * 1500 + [None, ""]})
+    sizes = [b.num_rows for b in slices([batch], most_rows=langid.HELD)]
+    assert sum(sizes) == 1502 and max(sizes) == langid.HELD
