@@ -39,19 +39,30 @@ def imputed_features(df: DataFrame, features: Sequence[str], output: str = "feat
     return scaled_features(median_impute(df, features), features, output)
 
 
-def _settled(df: DataFrame, ident: str | None, parts: int) -> DataFrame:
-    """Each row in a partition, and at a place in it, that depend on its id alone: fits draw by partition."""
-    return df.repartition(parts, ident).sortWithinPartitions(ident) if ident else df
+#: Rows in a partition of a fit, about.
+ROWS_A_PART = 250_000
+
+
+def _settled(df: DataFrame, ident: str | Sequence[str] | None, parts: int | None) -> DataFrame:
+    """Each row in a partition, and at a place in it, that depend on its id alone: fits draw by partition.
+
+    Without ``parts`` the rows are counted, and each partition gets about 250,000 of them, of eight at least.
+    """
+    if not ident:
+        return df
+    keys = [ident] if isinstance(ident, str) else list(ident)
+    parts = parts or max(8, -(-df.count() // ROWS_A_PART))
+    return df.repartition(parts, *keys).sortWithinPartitions(*keys)
 
 
 def kmeans_labels(
     df: DataFrame, k: int = 4, seed: int = 42, max_iter: int = 20, features: str = "features",
-    ident: str | None = None, parts: int = 8,
+    ident: str | Sequence[str] | None = None, parts: int | None = None,
 ) -> DataFrame:
     """Adds ``cluster`` 0..k-1, numbered by size and then by the centre's coordinates.
 
-    With ``ident``, a column that tells rows apart, the labels do not depend on the partitioning of the input;
-    ``parts`` is then the number of partitions of the fit, and has to grow with the table.
+    With ``ident``, one or more columns that tell rows apart, the labels do not depend on the partitioning of the input;
+    ``parts`` is then the number of partitions of the fit, by default taken from the number of rows.
     """
     df = _settled(df, ident, parts)
     model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=features, predictionCol="_label").fit(df)
@@ -76,8 +87,8 @@ def elbow(
     max_iter: int = 20,
     features: str = "features",
     threads: int = 4,
-    ident: str | None = None,
-    parts: int = 8,
+    ident: str | Sequence[str] | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """``k, inertia, drop`` for each K; the vectors are kept once for all fits. ``ident`` as in ``kmeans_labels``."""
     ks = list(ks)

@@ -108,7 +108,8 @@ def _closest_names(names: DataFrame, known: DataFrame, max_distance: int) -> Dat
 def names_sharing_words(names: DataFrame, known: DataFrame) -> DataFrame:
     """``block, folded, match, distance`` where all words of the shorter name stand in the longer.
 
-    A pair meets at the rarest word of the name whose words are all shared, so frequent words make no pairs.
+    A pair meets at the rarest word of the name whose words are all shared, so frequent words make no pairs; a name
+    with a word that the other side lacks has no match and is left out before.
     The match with the fewest further words wins, the first by name on a tie; these words are the distance.
     """
     def words(df: DataFrame, name: str, side: str) -> DataFrame:
@@ -120,7 +121,8 @@ def names_sharing_words(names: DataFrame, known: DataFrame) -> DataFrame:
         counts = stage(placed.groupBy("_block", "_word").agg(F.count("*").alias("_n")), "words")
         asked = small.select("*", F.explode(f"{s}_words").alias("_word"))
         rarest = asked.withColumn("_block", F.col(f"{s}_block")).join(counts, ["_block", "_word"])
-        rarest = rarest.groupBy(f"{s}_block", s, f"{s}_words").agg(F.min(F.struct("_n", "_word")).alias("_rarest"))
+        rarest = rarest.groupBy(f"{s}_block", s, f"{s}_words").agg(F.min(F.struct("_n", "_word")).alias("_rarest"), F.count("*").alias("_known"))
+        rarest = rarest.where(F.col("_known") == F.size(f"{s}_words"))
         rarest = rarest.select(s, f"{s}_words", F.col(f"{s}_block").alias("_block"), F.col("_rarest._word").alias("_word"))
         met = stage(rarest, "rarest").join(stage(placed, "placed"), ["_block", "_word"])
         return met.where(F.size(F.array_except(f"{s}_words", f"{l}_words")) == 0).select(

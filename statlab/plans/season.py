@@ -57,14 +57,18 @@ def metric_extremes_report(players: DataFrame) -> DataFrame:
     return reports.extremes_report(metric_extremes(players), "player", METRICS, LABEL_OF)
 
 
+#: What tells the rows of players apart; a player who changed teams has two.
+IDENT = ("player", "team")
+
+
 def cluster_players(players: DataFrame, k: int = 4, seed: int = 42) -> DataFrame:
     """Imputed players in original units with ``cluster``, ``pc1``, ``pc2``, written once for all reports."""
     vectors = cluster.imputed_features(players, CLUSTER_FEATURES)
-    return stage(cluster.project(cluster.kmeans_labels(vectors, k, seed)).drop("features"), "clustered")
+    return stage(cluster.project(cluster.kmeans_labels(vectors, k, seed, ident=IDENT)).drop("features"), "clustered")
 
 
 def cluster_elbow(players: DataFrame, ks: Sequence[int] = tuple(range(1, 11)), seed: int = 42) -> DataFrame:
-    return cluster.elbow(cluster.imputed_features(players, CLUSTER_FEATURES), ks, seed)
+    return cluster.elbow(cluster.imputed_features(players, CLUSTER_FEATURES), ks, seed, ident=IDENT)
 
 
 def clusters_report(labelled: DataFrame, k: int = 4) -> DataFrame:

@@ -389,11 +389,11 @@ def _vectors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def kmeans_k4(spark: SparkSession, sf: str) -> DataFrame:
-    return cluster.kmeans_labels(_vectors(spark, sf), 4).select("vec_id", "cluster")
+    return cluster.kmeans_labels(_vectors(spark, sf), 4, ident="vec_id").select("vec_id", "cluster")
 
 
 def elbow(spark: SparkSession, sf: str) -> DataFrame:
-    return cluster.elbow(_vectors(spark, sf), range(1, 7))
+    return cluster.elbow(_vectors(spark, sf), range(1, 7), ident="vec_id")
 
 
 def _far_groups(spark: SparkSession, sf: str) -> DataFrame:
