@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statlab.functions.clean import clamp_floor
+from statlab.operators import boost
 from statlab.session import new_path, side_by_side, stage
 
 #: Numbers a task holds while it adds up products, before it passes them on.
@@ -139,8 +140,8 @@ def estimate_by_category(
 ) -> DataFrame:
     """One model per category, fitted on the training share: adds ``predicted`` and ``is_train`` to every row.
 
-    Least squares by default: coefficients of all categories from one aggregate, joined back. With a regressor of
-    MLlib each category is fitted for itself, and the estimates are written to the shared folder, so that the plan
+    Least squares by default: coefficients of all categories from one aggregate, joined back. With ``boost.Trees`` the
+    trees of all categories grow together, and a missing feature is a value like others. With a regressor of MLlib each category is fitted for itself, and the estimates are written to the shared folder, so that the plan
     does not grow with the categories. The empty text is a category like any other. Rows of a null category, of one
     without training rows, or with a missing feature are kept with a null estimate.
     """
@@ -152,6 +153,10 @@ def estimate_by_category(
         raw = F.aggregate(F.zip_with(point, "_slopes", lambda x, b: x * b), F.col("_intercept"), lambda s, x: s + x)
         joined = marked.join(fits, F.col(category) == F.col("_c"), "left")
         return joined.withColumn(predicted, F.round(clamp_floor(raw, floor), 2)).select(*df.columns, "is_train", predicted)
+    if isinstance(regressor, boost.Trees):
+        model = boost.fit(marked.where(training), category, features, actual, regressor)
+        found = boost.predict(marked, model, category, features, regressor.depth, predicted)
+        return found.withColumn(predicted, F.round(clamp_floor(F.col(f"`{predicted}`"), floor), 2))
     marked = stage(marked, "by-category")
     regressor = regressor.copy({
         regressor.featuresCol: "_features", regressor.labelCol: actual, regressor.predictionCol: "_raw",
