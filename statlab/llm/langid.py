@@ -130,21 +130,21 @@ def fit_languages(docs: DataFrame, learned: int = LEARNED, landmarks: int = LAND
     return model
 
 
-def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """Adds ``lang_pred`` and ``score``, from the text alone. Without a letter, or a learned language: ``und`` and 0.
+def predict_languages(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
+    """Adds ``lang_pred`` and ``score``, from the column ``text`` alone. Without a letter, or a learned language: ``und`` and 0.
 
     ``near`` says whether the text is about as close to the learned languages as their own texts are. Columns of these names
     in the input are replaced; all others are passed through.
     """
     own = [c for c in docs.columns if c not in ("lang_pred", "score", "near")]
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.select(*[F.col(f"`{c}`") for c in own]).dtypes)
-    known = docs.select(*[F.col(f"`{c}`") for c in own], F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("_letter"))
+    known = docs.select(*[F.col(f"`{c}`") for c in own], F.coalesce(F.col(f"`{text}`").rlike(r"\p{L}"), F.lit(False)).alias("_letter"))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1 << 20, most_rows=HELD):
+        for batch in slices(batches, 1 << 20, text, HELD):
             letter = batch.column("_letter").to_numpy(zero_copy_only=False)
             if model.languages:
-                texts = presence(batch.column("text"))
+                texts = presence(batch.column(text))
                 kernel = model.kernel(texts)
                 scores = model.scores(kernel)
                 best = scores.argmax(axis=1)
@@ -169,5 +169,5 @@ def language_id(docs: DataFrame) -> DataFrame:
 def keep_languages(docs: DataFrame) -> DataFrame:
     """Documents in a learned language: those without a letter, or far from all of them, go. The columns are kept."""
     model = fit_languages(docs)
-    kept = predict_languages(docs.select(*[F.col(f"`{c}`").alias(f"_{c}") for c in docs.columns], "text"), model)
-    return kept.where((F.col("lang_pred") != UNKNOWN) & F.col("near")).select(*[F.col(f"`_{c}`").alias(c) for c in docs.columns])
+    kept = predict_languages(docs.select(*[F.col(f"`{c}`").alias(f"of {c}") for c in docs.columns]), model, "of text")
+    return kept.where((F.col("lang_pred") != UNKNOWN) & F.col("near")).select(*[F.col(f"`of {c}`").alias(c) for c in docs.columns])

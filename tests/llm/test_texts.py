@@ -333,3 +333,17 @@ def test_slices_are_bounded_by_rows():
     batch = pa.record_batch({"text": ["short"] * 1500 + [None, ""]})
     sizes = [b.num_rows for b in slices([batch], most_rows=langid.HELD)]
     assert sum(sizes) == 1502 and max(sizes) == langid.HELD
+
+
+def test_filter_with_clashing_columns(spoken):
+    docs = spoken
+    plain = {r["doc_id"] for r in langid.keep_languages(docs).collect()}
+    names = ["letter", "_letter", "_text", "near", "score", "lang_pred"]
+    wide = docs
+    for i, name in enumerate(names):
+        wide = wide.withColumn(name, F.lit(i))
+    kept = langid.keep_languages(wide)
+    assert kept.columns == wide.columns
+    found = kept.collect()
+    assert {r["doc_id"] for r in found} == plain and plain
+    assert all([r[n] for n in names] == list(range(6)) for r in found)
