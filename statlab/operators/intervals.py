@@ -14,6 +14,9 @@ from statlab.session import stage
 ROWS_PER_BIN = 2_000
 COARSE = 1024
 BRANCH = 16
+#: The same for sums: times a finest bin holds, and bins that make one of the next level.
+TIMES_PER_BIN = 32
+SUMS_BRANCH = 4
 
 
 def _bin(t: Column, bounds: Sequence, kind: str, fine: int) -> Column:
@@ -27,7 +30,7 @@ def _bin(t: Column, bounds: Sequence, kind: str, fine: int) -> Column:
     return part.cast("long") * fine + F.coalesce(step, F.lit(0)).cast("long")
 
 
-def _covering(first: Column, last: Column, levels: int) -> Column:
+def _covering(first: Column, last: Column, levels: int, branch: int = BRANCH) -> Column:
     """The bins that make up ``first`` to ``last``, as structs ``level, bin``: few, however many they are at the finest level."""
     a, b, out = first, last + 1, []
     going = F.lit(True)
@@ -38,9 +41,9 @@ def _covering(first: Column, last: Column, levels: int) -> Column:
 
     none = F.array().cast("array<struct<level:int,bin:bigint>>")
     for level in range(levels):
-        up, down = F.floor((a + BRANCH - 1) / BRANCH).cast("long"), F.floor(b / BRANCH).cast("long")
+        up, down = F.floor((a + branch - 1) / branch).cast("long"), F.floor(b / branch).cast("long")
         on = (up < down) & F.lit(level < levels - 1)
-        ends = F.concat(run(a, up * BRANCH, level), run(down * BRANCH, b, level))
+        ends = F.concat(run(a, up * branch, level), run(down * branch, b, level))
         out.append(F.when(going & on, ends).when(going, run(a, b, level)).otherwise(none))
         a, b, going = up, down, going & on
     return F.concat(*out)
@@ -51,6 +54,23 @@ def _held(df: DataFrame, name: str, keys: Sequence[str], **times: str) -> DataFr
     return df.select(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)], *[ticks(df, c).alias(n) for n, c in times.items()], whole)
 
 
+def _levels(bins: int, branch: int) -> int:
+    levels = 1
+    while branch**levels < bins:
+        levels += 1
+    return levels
+
+
+def _cells(df: DataFrame, cells: Column) -> DataFrame:
+    return df.withColumn("_cell", F.explode(cells)).select("*", "_cell.level", "_cell.bin").drop("_cell")
+
+
+def _with_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    for c in keys:
+        df = df.where(F.col(c).isNotNull())
+    return df
+
+
 def _points_in(points: DataFrame, spans: DataFrame, keys: list[str], rows_per_bin: int, after_start: bool) -> DataFrame:
     """``points`` (keys, ``_t``, payload) joined with ``spans`` (keys, ``_from``, ``_to``, payload); both ends belong to
     a span, or with ``after_start`` only the later one. Every pair meets in one bin."""
@@ -75,22 +95,58 @@ def _points_in(points: DataFrame, spans: DataFrame, keys: list[str], rows_per_bi
     return placed.join(spans.hint("merge"), [*keys, "level", "bin"]).where(begins & (F.col("_t") <= F.col("_to")))
 
 
+def _sums_in(points: DataFrame, spans: DataFrame, keys: list[str], sums: dict[str, tuple[str, str]], rows_per_bin: int) -> DataFrame:
+    """``spans`` with the sums of the points of each bin that lies within them, and of each time in the bins at their two ends.
+
+    Points come as their sums per time. Sums of a larger bin are those of its parts, so nothing is ever subtracted.
+    """
+    merged = [(F.sum if how == "count" else getattr(F, how))(f"`{c}`").alias(c) for c, (how, _) in sums.items()]
+    kind = dict(points.dtypes)["_t"]
+    n, least, most = points.agg(F.count("*"), F.min("_t"), F.max("_t")).first()
+    coarse = max(1, min(COARSE, n // rows_per_bin))
+    fine = max(1, n // (coarse * rows_per_bin))
+    bounds = sorted({least, *quantile_bounds(points, "_t", coarse), most}) if n else []
+    levels = _levels((len(bounds) + 1) * fine, SUMS_BRANCH)
+    points = stage(points.withColumn("bin", _bin(F.col("_t"), bounds, kind, fine)), "points")
+    own = stage(points.groupBy(*keys, "bin").agg(*merged), "bins")
+    larger = F.array(*[F.struct(F.lit(v).alias("level"), F.floor(F.col("_own") / SUMS_BRANCH**v).cast("long").alias("bin")) for v in range(levels)])
+    bins = stage(_cells(own.withColumnRenamed("bin", "_own"), larger).groupBy(*keys, "level", "bin").agg(*merged), "bins")
+    spans = stage(spans.withColumns({"_a": _bin(F.col("_from"), bounds, kind, fine), "_b": _bin(F.col("_to"), bounds, kind, fine)}), "spans")
+    whole = _cells(spans, _covering(F.col("_a") + 1, F.col("_b") - 1, levels, SUMS_BRANCH)).join(bins, [*keys, "level", "bin"])
+    ends = spans.withColumn("bin", F.explode(F.array_distinct(F.array("_a", "_b")))).join(points.hint("merge"), [*keys, "bin"])
+    ends = ends.where((F.col("_t") >= F.col("_from")) & (F.col("_t") <= F.col("_to")))
+    found = ["s", *[f"`{c}`" for c in sums]]
+    return whole.select(*found).unionByName(ends.select(*found))
+
+
 def _flat(pairs: DataFrame, first: tuple[str, DataFrame, str], second: tuple[str, DataFrame, str]) -> DataFrame:
     return pairs.select(*[F.col(f"{s}.`{c}`").alias(prefix + c) for s, df, prefix in (first, second) for c in df.columns])
 
 
 def range_join(
     points: DataFrame, spans: DataFrame, point: str, start: str, end: str, by: Sequence[tuple[str, str]] = (),
-    prefix: str = "span_", rows_per_bin: int = ROWS_PER_BIN,
+    prefix: str = "span_", rows_per_bin: int | None = None, sums: dict[str, tuple[str, str]] | None = None,
 ) -> DataFrame:
     """Each point with each span that holds it, ``start <= point <= end``, and equal columns ``by`` (names on both sides).
 
     Columns of ``points``, and those of ``spans`` with ``prefix`` before their names. Null points, bounds and keys match
     nothing, and neither does a span that ends before it starts. Bins hold about equally many points. A span is put in the
     fewest bins of several sizes that make it up, so a long one is a few rows, and each point it holds is in one of them.
+
+    With ``sums``, new columns as ``(count, sum, min or max; column, or * to count rows)``, the points of a bin within a
+    span come as one row of their sums in place of their columns. Each point a span holds is in one row of that span, so
+    its rows are to be put together again, counts by adding them. The rows then grow with the spans, not with the pairs.
     """
     keys = [f"_k{i}" for i in range(len(by))]
-    met = _points_in(_held(points, "p", [b[0] for b in by], _t=point), _held(spans, "s", [b[1] for b in by], _from=start, _to=end), keys, rows_per_bin, False)
+    p, s = _held(points, "p", [b[0] for b in by], _t=point), _held(spans, "s", [b[1] for b in by], _from=start, _to=end)
+    if sums is not None:
+        if any(how not in ("count", "sum", "min", "max") for how, _ in sums.values()):
+            raise ValueError("sums are count, sum, min or max")
+        first = [getattr(F, how)("*" if c == "*" else f"p.`{c}`").alias(name) for name, (how, c) in sums.items()]
+        times = stage(_with_keys(p, keys).where("_t IS NOT NULL").groupBy(*keys, "_t").agg(*first), "times")
+        met = _sums_in(times, _with_keys(s, keys).where("_from <= _to"), keys, sums, rows_per_bin or TIMES_PER_BIN)
+        return met.select(*[F.col(f"`{c}`") for c in sums], *[F.col(f"s.`{c}`").alias(prefix + c) for c in spans.columns])
+    met = _points_in(p, s, keys, rows_per_bin or ROWS_PER_BIN, False)
     return _flat(met, ("p", points, ""), ("s", spans, prefix))
 
 

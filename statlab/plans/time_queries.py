@@ -66,8 +66,8 @@ def events_in_spans(spark: SparkSession, sf: str) -> DataFrame:
     start = F.when(F.col("p_partkey") % 100 == 0, F.lit(MONTH_START)).otherwise(F.pmod(F.col("p_partkey") * 37, F.lit(720)) * HOUR + MONTH_START)
     hours = F.when(F.col("p_partkey") % 100 == 0, F.lit(10_000)).otherwise(F.col("p_size"))
     spans = part.select("p_partkey", start.alias("since"), (start + hours * HOUR).alias("until"))
-    met = intervals.range_join(_events(spark, sf), spans, "moment", "since", "until")
-    return met.groupBy(F.col("span_p_partkey").alias("p_partkey")).agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+    met = intervals.range_join(_events(spark, sf), spans, "moment", "since", "until", sums={"n": ("count", "*"), "value": ("sum", "value")})
+    return met.groupBy(F.col("span_p_partkey").alias("p_partkey")).agg(F.sum("n").alias("n"), F.round(F.sum("value"), 4).alias("total"))
 
 
 def cheaper_and_larger(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,6 +1,5 @@
 """Joins along time, ordered windows and streams: against SQL on the tables, against brute force on odd rows."""
 
-import bisect
 import os
 import random
 from collections import Counter
@@ -160,6 +159,28 @@ def test_spans_that_overlap(spark, spans):
     assert intervals.overlap_join(s.where("false"), s, ("a", "b"), ("a", "b")).collect() == []
 
 
+def test_sums_of_points_in_spans(spark, spans):
+    """They are those of the pairs, from rows that do not grow with the points of a span."""
+    rng = random.Random(11)
+    points = [(i, rng.choice([1, 2, None]), rng.choice([None, 52, 10**6, *range(-5, 250)]), rng.choice([None, i / 4])) for i in range(3000)]
+    p = spark.createDataFrame(points, "id long, k int, t long, v double").repartition(4)
+    s = spark.createDataFrame(spans, "id long, k int, a long, b long").repartition(3)
+    sums = {"n": ("count", "*"), "n_v": ("count", "v"), "v": ("sum", "v"), "most": ("max", "v")}
+    for by in ([("k", "k")], []):
+        met = intervals.range_join(p, s, "t", "a", "b", by, rows_per_bin=3, sums=sums)
+        assert met.columns == ["n", "n_v", "v", "most", "span_id", "span_k", "span_a", "span_b"]
+        found = met.groupBy("span_id").agg(F.sum("n"), F.sum("n_v"), F.sum("v"), F.max("most"), F.count("*")).collect()
+        want = {}
+        for j, q, a, b in spans:
+            held = [v for i, k, t, v in points if None not in (t, a, b) and a <= t <= b and (not by or (k is not None and k == q))]
+            known = [v for v in held if v is not None]
+            if held:
+                want[j] = (len(held), len(known), sum(known) if known else None, max(known, default=None))
+        assert {r[0]: tuple(r)[1:5] for r in found} == want
+        assert max(r[5] for r in found) <= 2 * 3 * 4 + 12 < max(n for n, *_ in want.values()) // 10
+    assert intervals.range_join(p.where("false"), s, "t", "a", "b", sums=sums).collect() == []
+
+
 def test_a_long_span_is_a_few_rows(spark):
     """It is in a logarithmic number of bins, and the bins make it up without a gap."""
     frame = spark.createDataFrame([(0, 65535), (1, 65534), (17, 17), (5, 4000), (4096, 8191)], "a long, b long")
