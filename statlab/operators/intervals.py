@@ -73,26 +73,36 @@ def _with_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def _points_in(points: DataFrame, spans: DataFrame, keys: list[str], rows_per_bin: int, after_start: bool) -> DataFrame:
     """``points`` (keys, ``_t``, payload) joined with ``spans`` (keys, ``_from``, ``_to``, payload); both ends belong to
-    a span, or with ``after_start`` only the later one. Every pair meets in one bin."""
-    for c in keys:
-        points, spans = points.where(F.col(c).isNotNull()), spans.where(F.col(c).isNotNull())
-    points, spans = stage(points.where("_t IS NOT NULL"), "points"), spans.where("_from <= _to")
+    a span, or with ``after_start`` only the later one. Every pair meets in one bin. Keys with no more points than a bin
+    holds are a bin of their own: their rows meet by the keys alone."""
+    points, spans = stage(_with_keys(points, keys).where("_t IS NOT NULL"), "points"), _with_keys(spans, keys).where("_from <= _to")
+    begins = F.col("_t") > F.col("_from") if after_start else F.col("_t") >= F.col("_from")
+    within = begins & (F.col("_t") <= F.col("_to"))
+    if not keys:
+        return _in_bins(points, spans, keys, rows_per_bin).where(within)
+    large = stage(points.groupBy(*keys).count().where(F.col("count") > rows_per_bin).select(*keys), "large")
+    if large.isEmpty():
+        return points.join(spans.hint("merge"), keys).where(within)
+    few = points.join(large, keys, "left_anti").join(spans.hint("merge"), keys).where(within)
+    many = stage(points.join(large, keys, "left_semi"), "points")
+    return few.unionByName(_in_bins(many, spans.join(large, keys, "left_semi"), keys, rows_per_bin).where(within).select(*few.columns))
+
+
+def _in_bins(points: DataFrame, spans: DataFrame, keys: list[str], rows_per_bin: int) -> DataFrame:
+    """Points and spans that share a bin."""
     n, kind = points.count(), dict(points.dtypes)["_t"]
     coarse = max(1, min(COARSE, n // rows_per_bin))
     fine = max(1, n // (coarse * rows_per_bin))
     bounds = quantile_bounds(points, "_t", coarse)
-    levels = 1
-    while BRANCH**levels < (len(bounds) + 1) * fine:
-        levels += 1
-    bins = _covering(_bin(F.col("_from"), bounds, kind, fine), _bin(F.col("_to"), bounds, kind, fine), levels)
-    spans = stage(spans.withColumn("_cell", F.explode(bins)).select("*", "_cell.level", "_cell.bin").drop("_cell"), "spans")
+    levels = _levels((len(bounds) + 1) * fine, BRANCH)
+    # The bins are columns of their own, so that each is worked out once, not once for each time a covering names it.
+    placed = spans.withColumns({"_a": _bin(F.col("_from"), bounds, kind, fine), "_b": _bin(F.col("_to"), bounds, kind, fine)})
+    spans = stage(_cells(placed, _covering(F.col("_a"), F.col("_b"), levels)).drop("_a", "_b"), "spans")
     # Points go to those levels only at which some span has a bin.
     used = sorted(r[0] for r in spans.select("level").distinct().collect())
-    own = _bin(F.col("_t"), bounds, kind, fine)
-    cells = F.array(*[F.struct(F.lit(v).alias("level"), F.floor(own / BRANCH**v).cast("long").alias("bin")) for v in used] or [F.lit(None).cast("struct<level:int,bin:bigint>")])
-    placed = points.withColumn("_cell", F.explode(cells)).select("*", "_cell.level", "_cell.bin").drop("_cell")
-    begins = F.col("_t") > F.col("_from") if after_start else F.col("_t") >= F.col("_from")
-    return placed.join(spans.hint("merge"), [*keys, "level", "bin"]).where(begins & (F.col("_t") <= F.col("_to")))
+    cells = F.array(*[F.struct(F.lit(v).alias("level"), F.floor(F.col("_own") / BRANCH**v).cast("long").alias("bin")) for v in used] or [F.lit(None).cast("struct<level:int,bin:bigint>")])
+    placed = _cells(points.withColumn("_own", _bin(F.col("_t"), bounds, kind, fine)), cells).drop("_own")
+    return placed.join(spans.hint("merge"), [*keys, "level", "bin"])
 
 
 def _sums_in(points: DataFrame, spans: DataFrame, keys: list[str], sums: dict[str, tuple[str, str]], rows_per_bin: int) -> DataFrame:

@@ -181,6 +181,18 @@ def test_sums_of_points_in_spans(spark, spans):
     assert intervals.range_join(p.where("false"), s, "t", "a", "b", sums=sums).collect() == []
 
 
+def test_keys_with_few_rows_need_no_bins(spark, monkeypatch):
+    """Only points of keys with more than a bin's rows are put in bins; the pairs are all there."""
+    rng, binned = random.Random(12), []
+    made = [(i, i // 4 if i < 400 else -1, a := rng.randrange(50), a + rng.choice([0, 3, 900])) for i in range(460)]
+    s = spark.createDataFrame(made, "id long, k int, a long, b long").repartition(3)
+    in_bins = intervals._in_bins
+    monkeypatch.setattr(intervals, "_in_bins", lambda points, *more: binned.append(points.count()) or in_bins(points, *more))
+    met = intervals.overlap_join(s, s, ("a", "b"), ("a", "b"), [("k", "k")], rows_per_bin=20)
+    want = [(x[0], y[0]) for x in made for y in made if x[1] == y[1] and x[2] <= y[3] and y[2] <= x[3]]
+    assert sorted((x["id"], x["right_id"]) for x in met.collect()) == sorted(want) and binned == [60, 60]
+
+
 def test_a_long_span_is_a_few_rows(spark):
     """It is in a logarithmic number of bins, and the bins make it up without a gap."""
     frame = spark.createDataFrame([(0, 65535), (1, 65534), (17, 17), (5, 4000), (4096, 8191)], "a long, b long")
