@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statlab.operators.ranges import ticks
@@ -11,6 +13,9 @@ from statlab.session import stage
 #: Rows of a smallest block on average, and the blocks one is cut into.
 ROWS_PER_BLOCK = 2_000
 BRANCH = 16
+#: Row pairs that two blocks may have to be compared as they are, and rows that travel as one.
+FEW_PAIRS = 10_000
+CHUNK = 512
 
 
 def _blocks(df: DataFrame, levels: int) -> DataFrame:
@@ -27,11 +32,19 @@ def _blocks(df: DataFrame, levels: int) -> DataFrame:
 
 
 def _extremes(rows: DataFrame, level: int, side: str) -> DataFrame:
-    """Per block its parent and what the conditions need: of the left side the least, of the right side the greatest."""
+    """Per block its parent, its number of rows, and the least and the greatest value of each axis."""
     parent = f"b{level - 1}"
-    best = F.min if side == "l" else F.max
     found = rows.groupBy(F.col(parent).alias(f"{side}p"), F.col(f"b{level}").alias(f"{side}b"))
-    return stage(found.agg(best("_x").alias(f"{side}x"), best("_y").alias(f"{side}y")), "extremes")
+    ends = [how(axis).alias(side + axis[1:] + end) for axis in ("_x", "_y") for how, end in ((F.min, "0"), (F.max, "1"))]
+    return stage(found.agg(F.count("*").alias(f"{side}n"), *ends), "extremes")
+
+
+def _chunks(rows: DataFrame, level: int, side: str) -> DataFrame:
+    """The rows of a level's blocks, up to ``CHUNK`` of a block in one array."""
+    block = f"b{level}"
+    place = F.row_number().over(Window.partitionBy(block).orderBy("_x")) - 1
+    held = rows.select(F.col(block).alias(f"{side}b"), F.floor(place / CHUNK).cast("long").alias(f"{side}c"), F.struct("_x", "_y", side).alias("row"))
+    return held.groupBy(f"{side}b", f"{side}c").agg(F.collect_list("row").alias(f"{side}rows")).withColumn("level", F.lit(level))
 
 
 def _less(strict: bool, a: str, b: str) -> Column:
@@ -43,8 +56,10 @@ class ThetaJoin:
     with one of ``< <= > >=``.
 
     Both tables are cut into blocks along both columns in turn, by quantiles, down to about ``rows_per_block`` rows.
-    Pairs of blocks are followed from the largest to the smallest as far as their extremes leave room for a match; the
-    blocks' pairs are a table joined on its parents. Rows then meet by an equal join on the pairs left. Null values match nothing.
+    Pairs of blocks are followed from the largest to the smallest as far as their extremes leave room for a match, and
+    no further where all their rows match or where they have few; the blocks' pairs are a table joined on its parents.
+    So they grow with the edge of the matches, not with their number. Rows then meet by equal joins on the pairs left,
+    many rows of a block at a time. Null values match nothing.
     """
 
     def __init__(self, left: DataFrame, right: DataFrame, first: tuple[str, str, str], second: tuple[str, str, str], rows_per_block: int = ROWS_PER_BLOCK):
@@ -68,24 +83,33 @@ class ThetaJoin:
         self.block_pairs = self._pairs()
 
     def _pairs(self) -> DataFrame:
-        """``lb, rb``: pairs of smallest blocks that may hold a match."""
+        """``level, lb, rb``: pairs of blocks that may hold a match, none within another; ``sure`` where all rows match."""
         spark = self.left.sparkSession
-        pairs = spark.range(1).select(F.col("id").alias("lb"), F.col("id").alias("rb"))
-        room = _less(self.strict[0], "lx", "rx") & _less(self.strict[1], "ly", "ry")
+        parents = spark.range(1).select(F.col("id").alias("lp"), F.col("id").alias("rp"))
+        room = _less(self.strict[0], "lx0", "rx1") & _less(self.strict[1], "ly0", "ry1")
+        sure = _less(self.strict[0], "lx1", "rx0") & _less(self.strict[1], "ly1", "ry0")
+        found = []
         for level in range(1, self.levels + 1):
-            parents = pairs.select(F.col("lb").alias("lp"), F.col("rb").alias("rp"))
-            met = parents.join(_extremes(self.left, level, "l"), "lp").join(_extremes(self.right, level, "r"), "rp")
-            pairs = stage(met.where(room).select("lb", "rb"), "block-pairs")
-        return pairs
+            met = parents.join(_extremes(self.left, level, "l"), "lp").join(_extremes(self.right, level, "r"), "rp").where(room)
+            ends = sure | (F.col("ln") * F.col("rn") <= FEW_PAIRS) | F.lit(level == self.levels)
+            pairs = stage(met.select(F.lit(level).alias("level"), "lb", "rb", "ln", "rn", sure.alias("sure"), ends.alias("ends")), "block-pairs")
+            found.append(pairs.where("ends").drop("ends"))
+            parents = pairs.where("NOT ends").select(F.col("lb").alias("lp"), F.col("rb").alias("rp"))
+        return reduce(DataFrame.unionByName, found)
 
     def rows(self, prefix: str = "right_") -> DataFrame:
         """The pairs: columns of ``left``, and those of ``right`` with ``prefix`` before their names."""
-        leaf = f"b{self.levels}"
-        l = self.left.select(F.col(leaf).alias("lb"), F.col("_x").alias("lx"), F.col("_y").alias("ly"), "l")
-        r = self.right.select(F.col(leaf).alias("rb"), F.col("_x").alias("rx"), F.col("_y").alias("ry"), "r")
-        dealt = l.join(self.block_pairs, "lb")
-        met = dealt.hint("merge").join(r, "rb").where(_less(self.strict[0], "lx", "rx") & _less(self.strict[1], "ly", "ry"))
-        return met.select(*[F.col(f"l.`{c}`").alias(c) for c in self.columns[0]], *[F.col(f"r.`{c}`").alias(prefix + c) for c in self.columns[1]])
+        used = sorted(r[0] for r in self.block_pairs.select("level").distinct().collect()) or [self.levels]
+        l, r = (reduce(DataFrame.unionByName, [_chunks(rows, v, side) for v in used]) for rows, side in ((self.left, "l"), (self.right, "r")))
+
+        def each(n: str) -> Column:
+            return F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(n) - 1) / CHUNK).cast("long")))
+
+        dealt = self.block_pairs.withColumn("lc", each("ln")).withColumn("rc", each("rn")).drop("ln", "rn")
+        met = dealt.join(l.hint("merge"), ["level", "lb", "lc"]).join(r.hint("merge"), ["level", "rb", "rc"]).select("sure", "lrows", "rrows")
+        met = met.select("sure", F.explode("lrows").alias("a"), "rrows").select("sure", "a", F.explode("rrows").alias("b"))
+        met = met.where(F.col("sure") | (_less(self.strict[0], "a._x", "b._x") & _less(self.strict[1], "a._y", "b._y")))
+        return met.select(*[F.col(f"a.l.`{c}`").alias(c) for c in self.columns[0]], *[F.col(f"b.r.`{c}`").alias(prefix + c) for c in self.columns[1]])
 
 
 def theta_join(

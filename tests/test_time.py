@@ -1,5 +1,6 @@
 """Joins along time, ordered windows and streams: against SQL on the tables, against brute force on odd rows."""
 
+import bisect
 import os
 import random
 from collections import Counter
@@ -236,6 +237,23 @@ def test_blocks_that_cannot_match_are_not_visited(spark):
     assert blocks >= 100 and join.block_pairs.count() <= 3 * blocks
 
 
+def test_blocks_that_match_as_a_whole_are_not_cut(spark):
+    """Half of all pairs match; the pairs of blocks are far fewer than the pairs of smallest blocks."""
+    n = 4000
+    l = spark.range(n).select("id", ((F.col("id") * 7919) % n).alias("x"), ((F.col("id") * 104_729) % n).alias("y"))
+    join = theta.ThetaJoin(l, l, ("x", "<", "x"), ("y", ">", "y"), rows_per_block=2)
+    rows = {i: (i * 7919 % n, i * 104_729 % n) for i in range(n)}
+    by_x = sorted(rows.values())
+    seen, want = [], 0
+    for _, y in by_x:
+        want += len(seen) - bisect.bisect_right(seen, y)
+        bisect.insort(seen, y)
+    assert join.rows().count() == want > n * n // 8
+    assert join.block_pairs.count() < 16**4
+    odd = join.rows().where("NOT (x < right_x AND y > right_y)")
+    assert odd.isEmpty()
+
+
 # Ordered windows
 
 @pytest.fixture(scope="module")
