@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statlab.llm.common import first_by_hash, held_out, slices, text_bytes
+from statlab.llm.common import first_by_hash, handing_back, held_out, slices, text_bytes
 from statlab.session import stage
 
 #: Places n-grams are hashed to, the longest n-gram, texts learned from and landmarks, each per language at most.
@@ -100,7 +100,7 @@ def fit_languages(docs: DataFrame, learned: int = LEARNED, landmarks: int = LAND
     The bounds are taken from the learned texts too, each without its own copy among the landmarks.
     """
     sample = stage(_sample(docs, learned), "learned")
-    marks = sample.where(F.col("place") <= landmarks).mapInArrow(_bits, "lang string, bits binary").collect()
+    marks = sample.where(F.col("place") <= landmarks).mapInArrow(handing_back(_bits), "lang string, bits binary").collect()
     languages = sorted({r["lang"] for r in marks})
     model = LanguageModel(languages, np.zeros((0, PLACES // 8), np.uint8), np.zeros((0, len(languages))), (0.0, 0.0))
     if not languages:
@@ -113,7 +113,7 @@ def fit_languages(docs: DataFrame, learned: int = LEARNED, landmarks: int = LAND
             values = pa.array(list(model.kernel(texts)), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch.column("lang"), values, pa.array(texts.sum(axis=1, dtype=np.int64))], ["lang", "values", "size"])
 
-    rows = sorted((r["lang"], r["values"], r["size"]) for r in sample.mapInArrow(near, "lang string, values array<double>, size long").collect())
+    rows = sorted((r["lang"], r["values"], r["size"]) for r in sample.mapInArrow(handing_back(near), "lang string, values array<double>, size long").collect())
     kernel = np.array([v for _, v, _ in rows])
     own = model.kernel(np.unpackbits(model.landmarks, axis=1))
     value, vector = np.linalg.eigh((own + own.T) / 2)
@@ -156,7 +156,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel, text: str = "text")
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in own], pa.array(names, pa.string()), pa.array(values), pa.array(near)], [*own, "lang_pred", "score", "near"])
 
-    return known.mapInArrow(scored, f"{schema}, lang_pred string, score double, near boolean")
+    return known.mapInArrow(handing_back(scored), f"{schema}, lang_pred string, score double, near boolean")
 
 
 def language_id(docs: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statlab.llm.common import LOWEST, _BASE, mix64, row_names, slices
+from statlab.llm.common import LOWEST, _BASE, handing_back, mix64, row_names, slices
 from statlab.session import stage
 
 #: Edits within which lines are alike, and the length (code points) from which lines are compared at all.
@@ -295,7 +295,7 @@ def _earlier_neighbours(asked: DataFrame, index: DataFrame, classes: DataFrame,
     def compare(met: DataFrame) -> DataFrame:
         pairs = met.join(texts.select(F.col("lid").alias("a"), F.col("content").alias("x")), "a")
         pairs = pairs.join(texts.select(F.col("lid").alias("b"), F.col("content").alias("y")), "b").select("a", "b", "x", "y")
-        return pairs.mapInArrow(_verified(edits), "a long, b long")
+        return pairs.mapInArrow(handing_back(_verified(edits)), "a long, b long")
 
     # Lines of one length probe each other, so one direction is enough for them; a longer earlier one probes a later one.
     longer = probing.where("shorter")
@@ -317,17 +317,17 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST
     Documents without repeats are not returned.
     """
     known = docs.select(*row_names(), "text")
-    lines = stage(known.mapInArrow(_occurrences(shortest, edits), "doc long, row long, line int, lid long, letters long, keys array<long>"), "lines")
+    lines = stage(known.mapInArrow(handing_back(_occurrences(shortest, edits)), "doc long, row long, line int, lid long, letters long, keys array<long>"), "lines")
     same = [F.first(c).alias(c) for c in ("letters", "keys")]
     classes = stage(lines.groupBy("lid").agg(F.min(_place()).alias("first"), F.count("*").alias("n"), *same), "classes")
     index = classes.select(F.explode("keys").alias("key"), F.col("lid").alias("b"), F.col("letters").alias("b_sum"))
-    asked = known.mapInArrow(_probes(shortest, edits), "key long, lid long, letters long, shorter boolean").toDF("key", "a", "a_sum", "shorter")
-    packed = known.mapInArrow(_packed, "doc long, row long, packed binary")
+    asked = known.mapInArrow(handing_back(_probes(shortest, edits)), "key long, lid long, letters long, shorter boolean").toDF("key", "a", "a_sum", "shorter")
+    packed = known.mapInArrow(handing_back(_packed), "doc long, row long, packed binary")
 
     def contents(wanted: DataFrame) -> DataFrame:
         owners = wanted.select("lid", "first.doc", "first.row", "first.line").groupBy("doc", "row").agg(F.collect_list(F.struct("line", "lid")).alias("asked"))
         # As many owners as there are candidates, which grow with the table: merged at every size, never sent to all tasks.
-        texts = packed.join(stage(owners, "owners").hint("merge"), ["doc", "row"]).mapInArrow(_contents, "lid long, content string, begun array<long>")
+        texts = packed.join(stage(owners, "owners").hint("merge"), ["doc", "row"]).mapInArrow(handing_back(_contents), "lid long, content string, begun array<long>")
         return texts.groupBy("lid").agg(F.first("content").alias("content"), F.first("begun").alias("begun"))
 
     later = stage(_earlier_neighbours(asked, index, classes, contents, edits).distinct().withColumn("later", F.lit(True)), "later")

@@ -1,6 +1,7 @@
 """Language, quality, tokens, lines and private data."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from statlab.llm import bpe as B
 from statlab.llm import langid, line_dedup, pii, quality
+from statlab.llm.common import handing_back
 from tests.llm.conftest import made_texts
 
 ALPHABETS = {"aa": "abcde", "bb": "fghij", "cc": "klmnö"}
@@ -347,3 +349,41 @@ def test_filter_with_clashing_columns(spoken):
     found = kept.collect()
     assert {r["doc_id"] for r in found} == plain and plain
     assert all([r[n] for n in names] == list(range(6)) for r in found)
+
+
+def test_words_with_a_mark_between_them():
+    """Their tokens are those of each word alone, also where a word holds the mark or something that becomes it."""
+    rng = random.Random(31)
+    letters = "abcXYZäñß中\u0308\ufb01\t\u00a0.,#'0129§×÷~^\u00b7|"
+    made = sorted({"".join(rng.choice(letters) for _ in range(rng.randrange(1, 9))) for _ in range(900)} | {"×", "a×", "\t", "the", "Don't"})
+    for mark in ("found", None, "a"):
+        words = B.Words(B.tokenizer_file())
+        assert words.mark in B.MARKS
+        if mark != "found":
+            words.mark, words.mark_id = mark, words.tokenizer.encode(mark or "", add_special_tokens=False).ids[0] if mark else -1
+        texts = [" ".join(made[i:i + 30]) for i in range(0, len(made), 30)]
+        want = [words.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [t.tolist() for t in words.encode(texts)] == want
+    words = B.Words(B.tokenizer_file())
+    plain = [w for w in made if words.mark not in w]
+    tokens, counts = words._of_marked(plain)
+    alone = words._of_words(plain)
+    assert tokens.tolist() == alone[0].tolist() and counts.tolist() == alone[1].tolist()
+    assert words._of_marked([*plain, words.mark]) is None
+
+
+def test_workers_hand_memory_back():
+    """The batches are the same, and what was freed inside is not kept by the worker."""
+    def made(batches):
+        held = [bytes(1000) for _ in range(200_000)]
+        yield from batches
+        del held
+
+    def size():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * os.sysconf("SC_PAGE_SIZE")
+
+    list(handing_back(lambda batches: batches)(iter([])))
+    before = size()
+    assert list(handing_back(made)(iter([1, 2]))) == [1, 2]
+    assert size() - before < 60_000_000
