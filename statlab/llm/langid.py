@@ -21,8 +21,8 @@ from statlab.session import stage
 
 #: Places n-grams are hashed to, the longest n-gram, texts learned from and landmarks, each per language at most.
 PLACES, LONGEST, LEARNED, LANDMARKS = 1 << 14, 4, 600, 24
-#: Texts whose n-grams are held at a time, which bounds the memory of a worker on short texts.
-HELD = 512
+#: Texts whose n-grams are held at a time, and places looked at at a time, which bound the memory of a worker.
+HELD, LOOKED_AT = 128, 1 << 18
 RIDGE = 1e-4
 UNKNOWN = "und"
 #: The part of the learned texts that may lie farther off than its bounds say.
@@ -32,18 +32,20 @@ OUTLYING = 0.005
 def presence(column) -> np.ndarray:
     """A row per text with a one at each place an n-gram of the whole lower-cased text hashes to."""
     data, offsets = text_bytes(pc.utf8_lower(column))
-    sizes = np.diff(offsets)
-    row = np.repeat(np.arange(len(sizes), dtype=np.int64), sizes)
-    left = np.repeat(offsets[1:], sizes) - np.arange(len(data))
-    found = np.zeros(len(sizes) * PLACES, dtype=np.uint8)
-    code = np.zeros(len(data), dtype=np.uint32)
-    base = row * PLACES
-    for n in range(1, LONGEST + 1):
-        code = code[:len(data) - n + 1] << np.uint32(8) | data[n - 1:]
-        place = (code + np.uint32(n)) * np.uint32(0x9E3779B1) >> np.uint32(32 - 14)
-        inside = left[:len(code)] >= n
-        found[(base[:len(code)] + place)[inside]] = 1
-    return found.reshape(len(sizes), PLACES)
+    found = np.zeros((len(offsets) - 1) * PLACES, dtype=np.uint8)
+    for first in range(0, len(data), LOOKED_AT):
+        last = min(first + LOOKED_AT, len(data))
+        part = data[first:last + LONGEST - 1]
+        inside = np.diff(np.clip(offsets, first, last))
+        base = np.repeat(np.arange(len(inside), dtype=np.int64) * PLACES, inside)
+        left = np.repeat(offsets[1:] - first, inside) - np.arange(last - first)
+        code = np.zeros(len(part), dtype=np.uint32)
+        for n in range(1, LONGEST + 1):
+            code = code[:len(part) - n + 1] << np.uint32(8) | part[n - 1:]
+            begun = code[:last - first]
+            place = (begun + np.uint32(n)) * np.uint32(0x9E3779B1) >> np.uint32(32 - 14)
+            found[(base[:len(begun)] + place)[left[:len(begun)] >= n]] = 1
+    return found.reshape(-1, PLACES)
 
 
 @dataclass

@@ -337,6 +337,29 @@ def test_slices_are_bounded_by_rows():
     assert sum(sizes) == 1502 and max(sizes) == langid.HELD
 
 
+def test_presence_takes_memory_by_the_place_not_by_the_text(monkeypatch):
+    import tracemalloc
+
+    rng = random.Random(33)
+    texts = [None, "", "ab", "".join(rng.choice("abcäß中 ") for _ in range(900)), "a", "xyz" * 40]
+    whole = langid.presence(pa.array(texts))
+    for places in (1, 2, 3, 7, 64):
+        monkeypatch.setattr(langid, "LOOKED_AT", places)
+        assert (langid.presence(pa.array(texts)) == whole).all()
+    monkeypatch.undo()
+    long = pa.array(["some words " * 400_000])
+    tracemalloc.start()
+    langid.presence(long)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32 << 20
+    tracemalloc.start()
+    langid.presence(pa.array(["short"] * 512).slice(0, langid.HELD)).astype("float32")
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 << 20
+
+
 def test_filter_with_clashing_columns(spoken):
     docs = spoken
     plain = {r["doc_id"] for r in langid.keep_languages(docs).collect()}
