@@ -29,6 +29,8 @@ REMEMBERED, TEXTS = 700_000, 256
 #: Signs that may part words which are encoded as one text: the first that is one token by itself.
 MARKS = "§¶¤¬¦÷×±°|~^"
 _ODD_SPACE = re.compile(r"[^\S \n]")
+#: Words, parted by spaces, whose characters no normalization makes more or fewer bytes.
+_PLAIN = re.compile("[ -~¡-ÿ]+")
 _GEAR = (mix64(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 
 
@@ -91,8 +93,19 @@ class Words:
         self.tokenizer.no_padding()
         single = ((m, self.tokenizer.encode(m, add_special_tokens=False).ids) for m in MARKS)
         self.mark, self.mark_id = next(((m, ids[0]) for m, ids in single if len(ids) == 1), (None, -1))
+        self.bytes = self._token_bytes()
         self._forget()
 
+    def _token_bytes(self) -> np.ndarray:
+        """The bytes of text each token stands for, where a sign of a token is a byte; without the mark of a word's end."""
+        end = getattr(self.tokenizer.model, "end_of_word_suffix", None) or ""
+        added = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        found = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=np.int64)
+        for token, number in vocabulary.items():
+            found[number] = len(token.encode()) if token in added else len(token.removesuffix(end))
+        return found
+
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.ends, self.flat = np.zeros(1, np.int64), np.zeros(0, np.int32)
@@ -111,11 +124,29 @@ class Words:
             return None
         return tokens[tokens != self.mark_id], np.diff(np.concatenate([[-1], marks, [len(tokens)]])) - 1
 
+    def _of_joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """The same without marks: words are parted where their tokens' bytes add up to theirs; nothing if they do not."""
+        text = " ".join(words)
+        tokens = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.int32)
+        spaces = np.flatnonzero(np.frombuffer(text.encode(), dtype=np.uint8) == 32)
+        wanted = np.append(spaces, len(text.encode())) - np.arange(len(words))
+        sizes = self.bytes[tokens]
+        read = np.cumsum(sizes)
+        if not len(read) or read[-1] != wanted[-1] or not sizes.all():
+            return None
+        last = np.searchsorted(read, wanted)
+        if not np.array_equal(read[last], wanted):
+            return None
+        return tokens, np.diff(np.concatenate([[-1], last]))
+
     def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if self.mark not in w] if self.mark else []
+        joined = words if _PLAIN.fullmatch(" ".join(words)) else [w for w in words if _PLAIN.fullmatch(w)]
+        parted = self._of_joined(joined) if joined else None
+        rest = words if parted is None else [] if joined is words else [w for w in words if not _PLAIN.fullmatch(w)]
+        plain = [w for w in rest if self.mark not in w] if self.mark else []
         marked = self._of_marked(plain) if plain else None
-        odd = words if marked is None else [w for w in words if self.mark in w]
-        for some, found in ((plain, marked), (odd, self._of_words(odd) if odd else None)):
+        odd = rest if marked is None else [w for w in rest if self.mark in w]
+        for some, found in ((joined, parted), (plain, marked), (odd, self._of_words(odd) if odd else None)):
             if found is not None:
                 tokens, counts = found
                 self.known.update(zip(some, range(len(self.known), len(self.known) + len(some))))

@@ -395,6 +395,24 @@ def test_words_with_a_mark_between_them():
     assert words._of_marked([*plain, words.mark]) is None
 
 
+def test_plain_words_need_no_marks(monkeypatch):
+    """Words are parted by their tokens' bytes; other words, and tokens that are no bytes, go the longer ways."""
+    rng = random.Random(32)
+    made = sorted({"".join(rng.choice("abXYZäñßÿ.,#'0129§×<>|") for _ in range(rng.randrange(1, 9))) for _ in range(900)} | {"<|endoftext|>", "a<|endoftext|>b"})
+    words = B.Words(B.tokenizer_file())
+    tokens, counts = words._of_joined(made)
+    alone = words._of_words(made)
+    assert tokens.tolist() == alone[0].tolist() and counts.tolist() == alone[1].tolist()
+    assert words._of_joined(["a\tb", "c"]) is None and words._of_joined(["\u0130x", "y"]) is None
+    want = [words.tokenizer.encode(w, add_special_tokens=False).ids for w in [*made, "\u0130x", "中"]]
+    longer = []
+    monkeypatch.setattr(B.Words, "_of_marked", lambda self, some, of=B.Words._of_marked: longer.extend(some) or of(self, some))
+    assert [t.tolist() for t in words.encode([*made, "\u0130x", "中"])] == want and sorted(longer) == ["\u0130x", "中"]
+    words = B.Words(B.tokenizer_file())
+    words.bytes[:] = 1
+    assert [t.tolist() for t in words.encode([*made, "\u0130x", "中"])] == want
+
+
 def test_workers_hand_memory_back():
     """The batches are the same, and what was freed inside is not kept by the worker."""
     def made(batches):
