@@ -47,14 +47,46 @@ def probes(length: np.ndarray, edits: int) -> Iterator[tuple[int, int, np.ndarra
                 yield less, i, start + shift, size
 
 
-def _hashes(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Running sums of a polynomial hash over code points, and the inverse powers that cut substrings out."""
-    n = len(points)
-    up = np.concatenate([[np.uint64(1)], np.cumprod(np.full(n, _BASE, dtype=np.uint64))])
-    down = np.concatenate([[np.uint64(1)], np.cumprod(np.full(n, pow(_BASE, -1, 1 << 64), dtype=np.uint64))])
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(mix64(points.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
-    return sums, down
+def _mixed(points: np.ndarray) -> np.ndarray:
+    return mix64(points.astype(np.uint64) + np.uint64(1))
+
+
+def _letter(points: np.ndarray) -> np.ndarray:
+    """16 to the power of a code point's class."""
+    return np.uint64(1) << mix64(points.astype(np.uint64)) % np.uint64(15) * np.uint64(4)
+
+
+class Sums:
+    """Running sums over code points. A task keeps what they are made of: powers, and the values of the first 2**16 code points."""
+
+    def __init__(self):
+        low = np.arange(1 << 16)
+        self.values = {made: made(low) for made in (_mixed, _letter)}
+        self.up = self.down = np.ones(1, dtype=np.uint64)
+
+    def _of(self, points: np.ndarray, made: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+        table = self.values[made]
+        high = np.flatnonzero(points >= len(table))
+        if not len(high):
+            return table[points]
+        found = table[np.minimum(points, len(table) - 1)]
+        found[high] = made(points[high])
+        return found
+
+    def hashes(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Running sums of a polynomial hash over code points, and the inverse powers that cut substrings out."""
+        n = len(points)
+        if len(self.up) <= n:
+            self.up, self.down = (np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, b, dtype=np.uint64)])) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
+        sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(self._of(points, _mixed) * self.up[:n], out=sums[1:])
+        return sums, self.down
+
+    def letters(self, points: np.ndarray) -> np.ndarray:
+        """Running sums in which a letter of class c counts 16 to the power of c, modulo 2**60."""
+        sums = np.zeros(len(points) + 1, dtype=np.uint64)
+        np.cumsum(self._of(points, _letter), out=sums[1:])
+        return sums
 
 
 def _lines(batch: pa.RecordBatch, shortest: int):
@@ -70,14 +102,6 @@ def _lines(batch: pa.RecordBatch, shortest: int):
     return points, text[some], number[some], starts[some], (ends - starts)[some]
 
 
-def _letter_sums(points: np.ndarray) -> np.ndarray:
-    """Running sums in which a letter of class c counts 16 to the power of c, modulo 2**60."""
-    classes = (mix64(points.astype(np.uint64)) % np.uint64(15)) * np.uint64(4)
-    sums = np.zeros(len(points) + 1, dtype=np.uint64)
-    np.cumsum(np.uint64(1) << classes, out=sums[1:])
-    return sums
-
-
 def _near_sums(a: Column, b: Column, edits: int) -> Column:
     """An edit changes the letter sum of a line, and of its first so many letters, by at most two powers of 16. A
     difference of more non-zero signed digits than that is of lines farther apart; one more is allowed for the modulus."""
@@ -103,22 +127,22 @@ def _hashed(sums: np.ndarray, down: np.ndarray, start: np.ndarray, length: np.nd
     return mix64(part + mix64(((length - less) * (edits + 1) + i).astype(np.uint64))).view(np.int64), inside
 
 
-def _letters(points: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
-    sums = _letter_sums(points)
+def _letters(sums: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     return ((sums[start + length] - sums[start]) & np.uint64((1 << 60) - 1)).view(np.int64)
 
 
 def _occurrences(shortest: int, edits: int):
     """Every line with its name, the sum of its letters, and the keys of its segments."""
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1 << 21):
+        running = Sums()
+        for batch in slices(batches, 1 << 20):
             points, text, number, start, length = _lines(batch, shortest)
-            sums, down = _hashes(points)
+            sums, down = running.hashes(points)
             keys = np.stack([_hashed(sums, down, start, length, 0, i, s, n, edits)[0] for i, (s, n) in enumerate(segments(length, edits))], axis=1)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(start) + 1, dtype=np.int32) * (edits + 1)), pa.array(keys.reshape(-1)))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c).take(pa.array(text)) for c in ("doc", "row")), pa.array(number.astype(np.int32)),
-                 pa.array(_line_names(sums, down, start, length)), pa.array(_letters(points, start, length)), lists],
+                 pa.array(_line_names(sums, down, start, length)), pa.array(_letters(running.letters(points), start, length)), lists],
                 ["doc", "row", "line", "lid", "letters", "keys"])
     return made
 
@@ -126,12 +150,13 @@ def _occurrences(shortest: int, edits: int):
 def _probes(shortest: int, edits: int):
     """A row per probe of every line that is the first of its kind in the batch."""
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1 << 21):
+        running = Sums()
+        for batch in slices(batches, 1 << 20):
             points, _, _, start, length = _lines(batch, shortest)
-            sums, down = _hashes(points)
+            sums, down = running.hashes(points)
             names, one = np.unique(_line_names(sums, down, start, length), return_index=True)
             start, length, found = start[one], length[one], []
-            own = _letters(points, start, length)
+            own = _letters(running.letters(points), start, length)
             for less, i, at, size in probes(length, edits):
                 key, inside = _hashed(sums, down, start, length, less, i, at, size, edits)
                 found.append((key[inside], names[inside], own[inside], np.full(int(inside.sum()), less > 0)))
@@ -149,7 +174,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The lines asked for, by number, of packed texts, and the letter sums of every STEP letters of their beginnings."""
-    open_ = zstandard.ZstdDecompressor()
+    open_, running = zstandard.ZstdDecompressor(), Sums()
     for whole in batches:
         for start in range(0, whole.num_rows, 256):
             names, lines = [], []
@@ -162,8 +187,8 @@ def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             points = np.frombuffer("".join(lines).encode("utf-32-le"), dtype=np.uint32)
             length = np.array([len(x) for x in lines], dtype=np.int64)
             begin = np.cumsum(length) - length
-            same = _line_names(*_hashes(points), begin, length) == np.array(names, dtype=np.int64)
-            sums = _letter_sums(points)
+            same = _line_names(*running.hashes(points), begin, length) == np.array(names, dtype=np.int64)
+            sums = running.letters(points)
             parts = length // STEP
             at = np.repeat(begin, parts) + (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts) + 1) * STEP
             begun = ((sums[at] - sums[np.repeat(begin, parts)]) & np.uint64((1 << 60) - 1)).view(np.int64)

@@ -360,6 +360,26 @@ def test_presence_takes_memory_by_the_place_not_by_the_text(monkeypatch):
     assert peak < 16 << 20
 
 
+def test_code_points_are_mixed_once_a_task(monkeypatch):
+    """Sums from tables are those of the formula; a task works out a common code point once, not once a line or batch."""
+    rng = random.Random(34)
+    running, base = line_dedup.Sums(), 0x9E3779B97F4A7C15
+    for text in ("", "abc", "".join(rng.choice("abäß中\uffff\U00010000\U0001f600") for _ in range(300)), "later, shorter"):
+        points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+        sums, down = running.hashes(points)
+        letters, want, wanted = running.letters(points), 0, 0
+        for i, p in enumerate(points.tolist()):
+            want = (want + int(line_dedup.mix64(np.uint64(p + 1))) * pow(base, i, 1 << 64)) % (1 << 64)
+            wanted = (wanted + (1 << int(line_dedup.mix64(np.uint64(p)) % np.uint64(15)) * 4)) % (1 << 64)
+            assert int(sums[i + 1]) == want and int(letters[i + 1]) == wanted
+            assert int(down[i]) * pow(base, i, 1 << 64) % (1 << 64) == 1
+    batch = pa.record_batch({"doc": [0, 1, 2], "row": [0, 0, 0], "text": ["line of words " * 60_000] * 3})
+    mixed = []
+    monkeypatch.setattr(line_dedup, "mix64", lambda x, of=line_dedup.mix64: mixed.append(np.size(x)) or of(x))
+    assert sum(b.num_rows for b in line_dedup._occurrences(80, 2)([batch])) == 3
+    assert sum(mixed) < 1 << 18
+
+
 def test_filter_with_clashing_columns(spoken):
     docs = spoken
     plain = {r["doc_id"] for r in langid.keep_languages(docs).collect()}
