@@ -8,27 +8,41 @@ a space or line break, which the tokenizer drops, so after that repair the token
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statlab.llm.common import handing_back, mix64, slices, text_bytes
+from statlab.llm.common import byte_sums, handing_back, mix64, slices, text_bytes
 from statlab.session import stage
 
 #: A cut at one byte in 2**10 on average; the rolling hash covers 16 bytes.
 CUT_BITS, WINDOW = 10, 16
-#: Words a task remembers at most, and texts it encodes at a time.
-REMEMBERED, TEXTS = 700_000, 256
+#: Words a task remembers at most, texts it encodes at a time, and their bytes, unless one text has more.
+REMEMBERED, TEXTS, TEXT_BYTES = 700_000, 256, 1 << 20
+#: Bytes whose words are looked up at a time, unless one word has more; longer words have their digest for a name.
+BLOCK, LONG = 1 << 18, 255
 #: Signs that may part words which are encoded as one text: the first that is one token by itself.
 MARKS = "§¶¤¬¦÷×±°|~^"
-_ODD_SPACE = re.compile(r"[^\S \n]")
+_GAP = re.compile(b"[ \n]")
+#: A pre-tokenizer's pattern none of whose matches goes on from a letter, digit or other sign of ASCII to one of another
+#: kind, but for those that begin with an apostrophe.
+KINDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The kinds of bytes: a gap between words, letters, digits, signs; the others (no ASCII, control codes) end no part.
+_GAPS, _LETTERS, _DIGITS, _SIGNS, _OTHERS = range(5)
+_KIND = np.full(256, _OTHERS, dtype=np.uint8)
+_KIND[33:127] = _SIGNS
+_KIND[48:58] = _DIGITS
+_KIND[65:91] = _KIND[97:123] = _LETTERS
+_KIND[[10, 32]] = _GAPS
 #: Words, parted by spaces, whose characters no normalization makes more or fewer bytes.
 _PLAIN = re.compile("[ -~¡-ÿ]+")
 _GEAR = (mix64(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
@@ -94,6 +108,8 @@ class Words:
         single = ((m, self.tokenizer.encode(m, add_special_tokens=False).ids) for m in MARKS)
         self.mark, self.mark_id = next(((m, ids[0]) for m, ids in single if len(ids) == 1), (None, -1))
         self.bytes = self._token_bytes()
+        self.added = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.parted, self.folded = _parting(json.loads(tokenizer))
         self._forget()
 
     def _token_bytes(self) -> np.ndarray:
@@ -107,7 +123,7 @@ class Words:
         return found
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.keys, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.ends, self.flat = np.zeros(1, np.int64), np.zeros(0, np.int32)
 
     def _of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -139,37 +155,101 @@ class Words:
             return None
         return tokens, np.diff(np.concatenate([[-1], last]))
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: list[str], keys: np.ndarray) -> None:
         joined = words if _PLAIN.fullmatch(" ".join(words)) else [w for w in words if _PLAIN.fullmatch(w)]
         parted = self._of_joined(joined) if joined else None
         rest = words if parted is None else [] if joined is words else [w for w in words if not _PLAIN.fullmatch(w)]
         plain = [w for w in rest if self.mark not in w] if self.mark else []
         marked = self._of_marked(plain) if plain else None
         odd = rest if marked is None else [w for w in rest if self.mark in w]
+        key, places = dict(zip(words, keys.tolist())), {}
         for some, found in ((joined, parted), (plain, marked), (odd, self._of_words(odd) if odd else None)):
             if found is not None:
                 tokens, counts = found
-                self.known.update(zip(some, range(len(self.known), len(self.known) + len(some))))
+                places.update(zip(map(key.__getitem__, some), range(len(self.ends) - 1, len(self.ends) - 1 + len(some))))
                 self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(counts)])
                 self.flat = np.concatenate([self.flat, tokens])
+        new = np.sort(keys)
+        before = np.searchsorted(self.keys, new)
+        self.keys = np.insert(self.keys, before, new)
+        self.places = np.insert(self.places, before, [places[k] for k in new.tolist()])
+
+    def _parts(self, data: np.ndarray, whole: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes, in small letters if case is nothing to the tokenizer, and where parts of words begin and end in them.
+
+        The last byte is a gap. Words are not parted further if they may be ``whole`` to the tokenizer, and next to
+        what is no ASCII, with which a sign may be composed.
+        """
+        kind = _KIND[data]
+        word = kind != _GAPS
+        first = np.concatenate([word[:1], word[1:] & ~word[:-1]])
+        if self.folded and not whole:
+            capital = (data >= 65) & (data <= 90)
+            capital[:-1] &= data[1:] < 128
+            data = np.where(capital, data + 32, data)
+        if self.parted and not whole:
+            plain = (kind != _OTHERS) & word
+            first[1:] |= plain[1:] & plain[:-1] & (kind[1:] != kind[:-1]) & (data[:-1] != 39)
+        return data, np.flatnonzero(first), np.flatnonzero(word[:-1] & (first[1:] | ~word[1:])) + 1
+
+    def _numbers(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The numbers of the parts, which are learned if they are new."""
+        raw = data.tobytes()
+        if len(data) > 2 * BLOCK:
+            named, long = np.zeros(len(starts), dtype=np.uint64), np.arange(len(starts))
+        else:
+            named, long = byte_sums(data, starts, ends), np.flatnonzero(ends - starts > LONG)
+        for i in long.tolist():
+            named[i] = xxhash.xxh3_64_intdigest(raw[starts[i]:ends[i]])
+        names, one, of = np.unique(named, return_index=True, return_inverse=True)
+        places = np.searchsorted(self.keys, names)
+        new = places == len(self.keys)
+        new[~new] = self.keys[places[~new]] != names[~new]
+        if new.any():
+            some = one[new]
+            self._learn([raw[a:b].decode() for a, b in zip(starts[some].tolist(), ends[some].tolist())], names[new])
+            places = np.searchsorted(self.keys, names)
+        return self.places[places][of]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The tokens of texts that begin and end at a space or line break."""
-        if len(self.known) > REMEMBERED or len(self.flat) > 8 * REMEMBERED:
-            self._forget()
-        words, counts = [], []
-        for text in texts:
-            own = [w for w in text.replace("\n", " ").split(" ") if w] if _ODD_SPACE.search(text) else text.split()
-            counts.append(len(own))
-            words += own
-        missing = list(set(words).difference(self.known))
-        if missing:
-            self._learn(sorted(missing))
-        numbers = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        starts, sizes = self.ends[numbers], self.ends[numbers + 1] - self.ends[numbers]
-        before = np.concatenate([[0], np.cumsum(sizes)])
-        tokens = self.flat[np.repeat(starts - before[:-1], sizes) + np.arange(before[-1])]
-        return np.split(tokens, before[np.cumsum(counts)][:-1]) if texts else []
+        held = [t.encode() for t in texts]
+        raw = b"".join([x for t in held for x in (t, b"\n")])
+        small = raw.lower()
+        whole = any(t in small for t in self.added)
+        firsts, sizes, tokens = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        start = 0
+        while start < len(raw):
+            end = min(start + BLOCK, len(raw))
+            end = max(raw.rfind(b" ", start, end), raw.rfind(b"\n", start, end)) + 1 or _GAP.search(raw, end).end()
+            if len(self.keys) > REMEMBERED or len(self.flat) > 8 * REMEMBERED:
+                self._forget()
+            data, begin, close = self._parts(np.frombuffer(raw, np.uint8, end - start, start), whole)
+            numbers = self._numbers(data, begin, close)
+            at, size = self.ends[numbers], self.ends[numbers + 1] - self.ends[numbers]
+            before = np.cumsum(size) - size
+            firsts.append(begin + start)
+            sizes.append(size)
+            tokens.append(self.flat[np.repeat(at - before, size) + np.arange(size.sum())])
+            start = end
+        before = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+        last = np.searchsorted(np.concatenate(firsts), np.cumsum([len(t) + 1 for t in held], dtype=np.int64))
+        return np.split(np.concatenate(tokens), before[last][:-1]) if texts else []
+
+
+def _parting(tokenizer: dict) -> tuple[bool, bool]:
+    """Whether words may be parted where the kind of their bytes changes, and whether case is nothing to the tokenizer."""
+    def steps(of: str, several: str) -> list[dict]:
+        found = tokenizer.get(of) or {}
+        return found.get(several, [found])
+
+    before, parts = steps("normalizer", "normalizers"), steps("pre_tokenizer", "pretokenizers")
+    blank = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+    known = (all(x in ({}, blank) or x.get("type") in ("NFC", "Lowercase") for x in before)
+             and parts[:1] == [{"type": "Split", "pattern": {"Regex": KINDS}, "behavior": "Removed", "invert": True}]
+             and all(x.get("type") == "ByteLevel" and not x["use_regex"] and not x["add_prefix_space"] for x in parts[1:])
+             and not any(t["normalized"] for t in tokenizer.get("added_tokens") or []))
+    return known, known and any(x.get("type") == "Lowercase" for x in before)
 
 
 def _gap(text: str) -> int:
@@ -217,46 +297,59 @@ def _shared_tokens(tokenizer: str):
     """The inner tokens of the chunks asked for, from the text that owns them."""
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, press, open_ = Words(tokenizer), zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
-        for whole in batches:
-            for start in range(0, whole.num_rows, TEXTS):
-                digests, texts = [], []
-                for row in whole.slice(start, TEXTS).to_pylist():
-                    chunks = _text_chunks(open_.decompress(row["packed"]))
-                    for place in row["places"]:
-                        digests.append(_digest(chunks[place].encode()))
-                        texts.append(chunks[place][slice(*inner_part(chunks[place]))])
-                tokens = [press.compress(t.astype("<i4").tobytes()) for t in words.encode(texts)]
-                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(tokens, pa.binary())], ["digest", "tokens"])
+        for rows in _opened(batches, open_):
+            digests, texts = [], []
+            for text, places in rows:
+                chunks = _text_chunks(text)
+                for place in places:
+                    digests.append(_digest(chunks[place].encode()))
+                    texts.append(chunks[place][slice(*inner_part(chunks[place]))])
+            tokens = [press.compress(t.astype("<i4").tobytes()) for t in words.encode(texts)]
+            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(tokens, pa.binary())], ["digest", "tokens"])
     return made
 
 
+def _opened(batches: Iterator[pa.RecordBatch], open_) -> Iterator[list[tuple]]:
+    """Rows with their first column's text opened, some texts or about a number of bytes at a time."""
+    for whole in batches:
+        rows, held = [], 0
+        for start in range(0, whole.num_rows, TEXTS):
+            for packed, *more in zip(*(c.to_pylist() for c in whole.slice(start, TEXTS).columns)):
+                rows.append((open_.decompress(packed), *more))
+                held += len(rows[-1][0])
+                if held >= TEXT_BYTES or len(rows) == TEXTS:
+                    yield rows
+                    rows, held = [], 0
+        if rows:
+            yield rows
+
+
 def _encoded(tokenizer: str):
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, open_ = Words(tokenizer), zstandard.ZstdDecompressor()
         decode = decoder(words.tokenizer)
-        for whole in batches:
-            for start in range(0, whole.num_rows, TEXTS):
-                batch, texts = whole.slice(start, TEXTS), []
-                for packed, reused in zip(batch.column("packed").to_pylist(), batch.column("reused").to_pylist()):
-                    text = open_.decompress(packed)
-                    if reused:
-                        inner = {r["place"]: np.frombuffer(open_.decompress(r["tokens"]), dtype="<i4") for r in reused}
-                        texts.append(pieces(_text_chunks(text), inner))
-                    else:
-                        texts.append([text.decode()])
-                ids = encode_pieces(texts, words)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("tid"), pa.array(ids, pa.list_(pa.int32())), pa.array(map(decode, ids), pa.string())],
-                    ["tid", "ids", "decoded"])
+        for rows in _opened(batches, open_):
+            names, texts = [], []
+            for text, name, reused in rows:
+                names.append(name)
+                if reused:
+                    inner = {r["place"]: np.frombuffer(open_.decompress(r["tokens"]), dtype="<i4") for r in reused}
+                    texts.append(pieces(_text_chunks(text), inner))
+                else:
+                    texts.append([text.decode()])
+            ids = encode_pieces(texts, words)
+            ends = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
+            ids = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(ids), pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), ids, decode(ids)], ["tid", "ids", "decoded"])
     return made
 
 
 def decoder(tokenizer):
-    """From tokens to text. Without a decoder of its own, the tokenizer's text is its tokens parted by spaces."""
+    """From lists of tokens to texts. Without a decoder of its own, the tokenizer's text is its tokens parted by spaces."""
     if tokenizer.decoder is not None:
-        return lambda ids: tokenizer.decode(ids.tolist(), skip_special_tokens=False)
-    vocabulary = [tokenizer.id_to_token(i) for i in range(tokenizer.get_vocab_size(with_added_tokens=True))]
-    return lambda ids: " ".join([vocabulary[i] for i in ids.tolist()])
+        return lambda ids: pa.array([tokenizer.decode(i, skip_special_tokens=False) for i in ids.to_pylist()], pa.string())
+    vocabulary = pa.array([tokenizer.id_to_token(i) for i in range(tokenizer.get_vocab_size(with_added_tokens=True))], pa.string())
+    return lambda ids: pc.binary_join(pa.ListArray.from_arrays(ids.offsets, vocabulary.take(ids.values)), " ")
 
 
 def bpe(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -279,7 +372,8 @@ def bpe(docs: DataFrame, tokenizer: str) -> DataFrame:
     reused = uses.select("tid", "place", "digest").join(tokens, "digest").groupBy("tid").agg(
         F.collect_list(F.struct("place", "tokens")).alias("reused"))
     known = packed.join(reused, "tid", "left")
-    return known.mapInArrow(handing_back(_encoded(tokenizer)), "tid long, ids array<int>, decoded string")
+    return known.select("packed", "tid", "reused").mapInArrow(
+        handing_back(_encoded(tokenizer)), "tid long, ids array<int>, decoded string")
 
 
 def text_name():

@@ -433,6 +433,67 @@ def test_plain_words_need_no_marks(monkeypatch):
     assert [t.tolist() for t in words.encode([*made, "\u0130x", "中"])] == want
 
 
+def test_words_are_parted_by_kind_only_where_the_tokenizer_does():
+    """Parts are learned once, whatever stands around them; the tokens are the library's, also of other tokenizers."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    words, learned = B.Words(B.tokenizer_file()), []
+    words._learn = lambda some, keys, of=words._learn: learned.extend(some) or of(some, keys)
+    text = "There there, THERE&&& (there) it's 'there' x1there\nthere\u0308! \u00c9there.?"
+    assert words.encode([text])[0].tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
+    assert sorted(learned) == sorted(["there", ",", "&&&", "(", ")", "it", "'s", "'there", "'", "x", "1", "there\u0308!", "\u00c9there", ".?"])
+    spec, rng = json.loads(B.tokenizer_file()), random.Random(33)
+    split, signs = spec["pre_tokenizer"]["pretokenizers"]
+    by_gaps = {"type": "Sequence", "pretokenizers": [split | {"pattern": {"Regex": "[^\\s]+"}}, signs]}
+    other = [spec | {"normalizer": {"type": "NFC"}}, spec | {"normalizer": None}, spec | {"pre_tokenizer": by_gaps}]
+    other.append(spec | {"added_tokens": [spec["added_tokens"][0] | {"content": "abc"}, spec["added_tokens"][1] | {"content": "Se"}]})
+    signs = "abcXYZ jJsStTrReEvVlLmMdD' '01239&$%.-<|>_\t\x1c\x00\x7f\u00a0\u0308\u030c\u0307\u0130\u03a3\u4e2d\ufb01äß×½²"
+    for made in (spec, *other):
+        words = B.Words(json.dumps(made))
+        assert (words.parted, words.folded) == (made["pre_tokenizer"] == spec["pre_tokenizer"], made["normalizer"] == spec["normalizer"] and made["pre_tokenizer"] == spec["pre_tokenizer"])
+        for _ in range(6):
+            some = ["".join(rng.choice(signs) for _ in range(rng.choice([0, 2, 9, 40]))) for _ in range(30)]
+            some += [" a<|endoftext|>b ", "Abc abc se Se"] * (rng.random() < 0.4)
+            alone = [[w for w in t.split(" ") if w] for t in some]
+            want = [[i for w in t for i in words.tokenizer.encode(w, add_special_tokens=False).ids] for t in alone]
+            assert [t.tolist() for t in words.encode(some)] == want
+
+
+def test_what_a_task_remembers_is_small():
+    """Words are kept as their hashes and tokens, and texts are opened some bytes at a time."""
+    import tracemalloc
+
+    import pyarrow as pa
+    import zstandard
+
+    rng = random.Random(34)
+    words = B.Words(B.tokenizer_file())
+    made = [" ".join("".join(rng.choice("abcdefghij") for _ in range(9)) for _ in range(2000)) for _ in range(40)]
+    tracemalloc.start()
+    tokens = [words.encode([t])[0] for t in made[:1]]
+    before = tracemalloc.get_traced_memory()[0]
+    for t in made:
+        words.encode([t])
+    grown = tracemalloc.get_traced_memory()[0] - before
+    tracemalloc.stop()
+    assert len(words.keys) > 75_000 and grown < 60 * len(words.keys)
+    assert tokens[0].tolist() == words.encode(made[:1])[0].tolist()
+    press = zstandard.ZstdCompressor()
+    batch = pa.RecordBatch.from_arrays([pa.array([press.compress(b"x" * B.TEXT_BYTES)] * 5 + [press.compress(b"")] * 600)], ["packed"])
+    sizes = [len(rows) for rows in B._opened(iter([batch]), zstandard.ZstdDecompressor())]
+    assert sizes == [1] * 5 + [256, 256, 88]
+
+
+def test_words_beyond_a_block(monkeypatch):
+    """Long words, and blocks that one word fills, have the same tokens."""
+    monkeypatch.setattr(B, "BLOCK", 400)
+    words = B.Words(B.tokenizer_file())
+    texts = ["a&" * 700 + " b", "", "x" * 300 + " y " + "x" * 300 + "z\n", "é1" * 500, "one two " * 300]
+    assert [t.tolist() for t in words.encode(texts)] == [words.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_workers_hand_memory_back():
     """The batches are the same, and what was freed inside is not kept by the worker."""
     def made(batches):
